@@ -20,10 +20,22 @@ def case(pairs: Sequence[tuple[Column, object]], default: object = None) -> Colu
     return F.lit(default) if chain is F else chain.otherwise(default)
 
 
-def by_value(key: Column | str, table: Mapping[object, object], default: object) -> Column:
-    """Look a short fixed table up by equality."""
-    key = as_column(key)
-    return case([(key == entry, F.lit(value)) for entry, value in table.items()], F.lit(default))
+def sql_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def by_value(key: str, table: Mapping[object, object], default: object) -> Column:
+    """Look a short fixed table up by equality with a column."""
+    arms = " ".join(f"WHEN {sql_literal(entry)} THEN {sql_literal(value)}" for entry, value in table.items())
+    return F.expr(f"CASE `{key}` {arms} ELSE {sql_literal(default)} END")
 
 
 def first_step(value: Column, steps: Iterable[tuple[float, object]], default: object) -> Column:

@@ -3,7 +3,7 @@
 
 def all_queries():
     """Every registered query, by name."""
-    from kerbside.plans import booking_queries  # noqa: F401
+    from kerbside.plans import booking_queries, window_queries  # noqa: F401
     from kerbside.plans.catalog import QUERIES
 
     return QUERIES

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import trip_model
-from kerbside.functions.scalars import by_value, time_parts
+from kerbside.functions.scalars import time_parts
 from kerbside.operators.enrich import join_passengers, passenger_defaults
 from kerbside.schemas import TIER_COLUMN
 from kerbside.session import use_utc
@@ -31,9 +31,22 @@ FIRST_TRIP_US = 1_704_326_400_000_000
 SQUEEZE = 6
 
 
-def pick(entries: tuple[str, ...], place: Column) -> Column:
-    """The entry at a zero-based place."""
-    return F.element_at(F.array(*[F.lit(entry) for entry in entries]), (place % len(entries) + 1).cast("int"))
+def pick(entries: tuple[str, ...], place: str) -> str:
+    """SQL for the entry at a zero-based place."""
+    listed = ", ".join(f"'{entry}'" for entry in entries)
+    return f"element_at(array({listed}), cast({place} % {len(entries)} + 1 as int))"
+
+
+def named(table: dict, value: str, default: str) -> str:
+    """SQL for a lookup in a short fixed table."""
+    arms = " ".join(f"WHEN '{key}' THEN '{entry}'" for key, entry in table.items())
+    return f"CASE {value} {arms} ELSE '{default}' END"
+
+
+PICKUP = pick(DISTRICTS, "user_id")
+DROPOFF = pick(DISTRICTS, "(user_id + event_id % 3)")
+TAXI_OF_EVENT = named(TYPE_OF_EVENT, "event_type", "Limosine")
+PROCESSED = "timestamp_micros(unix_micros(et) + event_id % 400 * 1000000)"
 
 
 class Tables:
@@ -51,216 +64,189 @@ class Tables:
     def events(self) -> DataFrame:
         """Events with the squeezed event time ``et`` and the number in ``props`` as ``k``."""
         raw = load_stream(self.spark, self.folder, "events") if self.stream else self.table("events")
-        since = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(FIRST_EVENT_US)
-        squeezed = F.lit(FIRST_TRIP_US) + F.floor(since / F.lit(SQUEEZE)).cast("long")
-        return raw.withColumns(
-            {"et": F.timestamp_micros(squeezed), "k": F.from_json("props", "k int")["k"]}
+        since = f"(unix_micros(cast(ts as timestamp)) - {FIRST_EVENT_US}) div {SQUEEZE}"
+        return raw.selectExpr(
+            "*", f"timestamp_micros({FIRST_TRIP_US} + {since}) AS et", "from_json(props, 'k int').k AS k"
         )
 
     @cached_property
     def bookings(self) -> DataFrame:
-        user, event = F.col("user_id"), F.col("event_id")
-        rows = self.events.select(
-            F.concat(F.lit("BK"), event.cast("string")).alias("booking_id"),
-            F.col("et").alias("event_time"),
-            F.timestamp_micros(F.unix_micros("et") + event % 400 * 1_000_000).alias("processing_time"),
-            user.alias("passenger_id"),
-            pick(DISTRICTS, user).alias("pickup_district"),
-            pick(DISTRICTS, user + event % 3).alias("dropoff_district"),
-            by_value("event_type", TYPE_OF_EVENT, "Limosine").alias("requested_taxi_type"),
-            (event % 6 + 1).alias("num_passengers"),
-            (F.col("k") / F.lit(4.0)).alias("estimated_distance"),
-            ((event % 15 + 10) / F.lit(10.0)).alias("surge_multiplier"),
-            pick(PAYMENTS, event).alias("payment_method"),
-            F.lit("Pending").alias("booking_status"),
-            F.when(event % 10 == 0, "Child Seat").alias("special_requirements"),
-            by_value(event % 20, {0: "VIP", 5: "High"}, "Normal").alias("priority_level"),
+        rows = self.events.selectExpr(
+            "concat('BK', event_id) AS booking_id",
+            "et AS event_time",
+            f"{PROCESSED} AS processing_time",
+            "user_id AS passenger_id",
+            f"{PICKUP} AS pickup_district",
+            f"{DROPOFF} AS dropoff_district",
+            f"{TAXI_OF_EVENT} AS requested_taxi_type",
+            "event_id % 6 + 1 AS num_passengers",
+            "k / 4.0D AS estimated_distance",
+            "(event_id % 15 + 10) / 10.0D AS surge_multiplier",
+            f"{pick(PAYMENTS, 'event_id')} AS payment_method",
+            "'Pending' AS booking_status",
+            "CASE WHEN event_id % 10 = 0 THEN 'Child Seat' END AS special_requirements",
+            "CASE event_id % 20 WHEN 0 THEN 'VIP' WHEN 5 THEN 'High' ELSE 'Normal' END AS priority_level",
         )
         return time_parts(rows, "event_time")
 
     @cached_property
     def trips_events(self) -> DataFrame:
-        user, event = F.col("user_id"), F.col("event_id")
-        late = event % 13 == 0
-        return self.events.select(
-            F.concat(F.lit("T"), user.cast("string"), F.lit("-"), (event % 2).cast("string")).alias("trip_id"),
-            F.col("et").alias("event_timestamp"),
-            F.timestamp_micros(F.unix_micros("et") + event % 400 * 1_000_000).alias("processing_timestamp"),
-            pick(DISTRICTS, user).alias("pickup_district"),
-            pick(DISTRICTS, user + event % 3).alias("dropoff_district"),
-            (F.col("k") + event % 4 * F.lit(0.25)).alias("distance_km"),
-            (event * 7 % 3600 + 60).alias("duration_seconds"),
-            F.col("value").alias("fare_amount"),
-            by_value("event_type", TYPE_OF_EVENT, "Limosine").alias("taxi_type"),
-            (event % 6 + 1).alias("passenger_count"),
-            F.when(late, True).alias("is_late_data"),
-            F.when(late, event % 26 + 5).alias("late_by_minutes"),
+        return self.events.selectExpr(
+            "concat('T', user_id, '-', event_id % 2) AS trip_id",
+            "et AS event_timestamp",
+            f"{PROCESSED} AS processing_timestamp",
+            f"{PICKUP} AS pickup_district",
+            f"{DROPOFF} AS dropoff_district",
+            "k + event_id % 4 * 0.25D AS distance_km",
+            "event_id * 7 % 3600 + 60 AS duration_seconds",
+            "value AS fare_amount",
+            f"{TAXI_OF_EVENT} AS taxi_type",
+            "event_id % 6 + 1 AS passenger_count",
+            "CASE WHEN event_id % 13 = 0 THEN true END AS is_late_data",
+            "CASE WHEN event_id % 13 = 0 THEN event_id % 26 + 5 END AS late_by_minutes",
         )
 
     @cached_property
     def all_passengers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").select(
-            key.alias("PassengerID"),
-            F.col("c_name").alias("PassengerName"),
-            by_value("c_mktsegment", TIER_OF_SEGMENT, "Standard").alias(TIER_COLUMN),
-            (key % 53 + 18).alias("Age"),
-            F.when(key % 2 == 0, "F").otherwise("M").alias("Gender"),
-            F.col("c_acctbal").alias("AmountSpent"),
-            F.col("c_mktsegment").alias("Address"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS PassengerID",
+            "c_name AS PassengerName",
+            f"{named(TIER_OF_SEGMENT, 'c_mktsegment', 'Standard')} AS {TIER_COLUMN}",
+            "c_custkey % 53 + 18 AS Age",
+            "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS Gender",
+            "c_acctbal AS AmountSpent",
+            "c_mktsegment AS Address",
         )
 
     @cached_property
     def passengers(self) -> DataFrame:
         """Every tenth customer is left out, so that some bookings have no passenger."""
-        return self.all_passengers.filter(F.col("PassengerID") % 10 != 0)
+        return self.all_passengers.filter("PassengerID % 10 <> 0")
 
     @cached_property
     def all_taxis(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.table("supplier").select(
-            key.alias("TaxiID"),
-            F.col("s_name").alias("TaxiNumber"),
-            pick(TAXI_TYPES, key).alias("TaxiType"),
-            (key % 6 + 3).alias("TaxiPassengerCapacity"),
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS TaxiID",
+            "s_name AS TaxiNumber",
+            f"{pick(TAXI_TYPES, 's_suppkey')} AS TaxiType",
+            "s_suppkey % 6 + 3 AS TaxiPassengerCapacity",
         )
 
     @cached_property
     def taxis(self) -> DataFrame:
         """Every 25th is left out, so that some trips and drivers refer to no taxi."""
-        return self.all_taxis.filter(F.col("TaxiID") % 25 != 0)
+        return self.all_taxis.filter("TaxiID % 25 <> 0")
 
     @cached_property
     def drivers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.table("supplier").select(
-            key.alias("DriverID"),
-            F.concat(F.lit("Driver "), key.cast("string")).alias("DriverName"),
-            key.alias("TaxiIDDriving"),
-            (key % 55 / F.lit(10.0)).alias("Rating"),
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS DriverID",
+            "concat('Driver ', s_suppkey) AS DriverName",
+            "s_suppkey AS TaxiIDDriving",
+            "s_suppkey % 55 / 10.0D AS Rating",
         )
 
     @cached_property
     def trips(self) -> DataFrame:
         """Trips without their passenger: a projection of line items, no join."""
-        return self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Sno"),
-            F.col("l_orderkey"),
-            F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("TaxiNumber"),
-            F.col("l_quantity").alias("DistanceTravelled"),
-            (F.floor("l_extendedprice").cast("int") % 7200).alias("TripDurationInSeconds"),
-            (F.col("l_extendedprice") / F.lit(1000.0)).alias("TripFare"),
-            F.col("l_linenumber").alias("NumberOfPassengers"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS Sno",
+            "l_orderkey",
+            "concat('Supplier#', lpad(l_suppkey, 9, '0')) AS TaxiNumber",
+            "l_quantity AS DistanceTravelled",
+            "cast(floor(l_extendedprice) as int) % 7200 AS TripDurationInSeconds",
+            "l_extendedprice / 1000.0D AS TripFare",
+            "l_linenumber AS NumberOfPassengers",
         )
 
     @cached_property
     def passenger_trips(self) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("PassengerID"))
+        orders = self.table("orders").selectExpr("o_orderkey", "o_custkey AS PassengerID")
         joined = self.trips.join(orders, self.trips["l_orderkey"] == orders["o_orderkey"], "left")
         return joined.drop("l_orderkey", "o_orderkey")
 
     @cached_property
     def trades(self) -> DataFrame:
-        side = F.when(F.col("event_type") == "purchase", "BUY").otherwise("SELL")
-        return self.events.filter(F.col("event_type").isin("purchase", "signup")).select(
-            F.col("et").alias("CreatedTime"),
-            side.alias("Type"),
-            F.floor("value").cast("int").alias("Amount"),
-            F.concat(F.lit("B"), (F.col("user_id") % 5).cast("string")).alias("BrokerCode"),
+        return self.events.filter("event_type IN ('purchase', 'signup')").selectExpr(
+            "et AS CreatedTime",
+            "CASE event_type WHEN 'purchase' THEN 'BUY' ELSE 'SELL' END AS Type",
+            "cast(floor(value) as int) AS Amount",
+            "concat('B', user_id % 5) AS BrokerCode",
         )
 
     @cached_property
     def sensors(self) -> DataFrame:
-        return self.events.select(
-            F.col("et").alias("CreatedTime"),
-            F.concat(F.lit("sensor_"), (F.col("user_id") % 3 + 1).cast("string")).alias("SensorID"),
-            F.col("value").alias("Reading"),
+        return self.events.selectExpr(
+            "et AS CreatedTime", "concat('sensor_', user_id % 3 + 1) AS SensorID", "value AS Reading"
         )
 
     @cached_property
     def messages(self) -> DataFrame:
         """Rows shaped like those of a message broker."""
-        return self.events.select(
-            F.concat(F.lit("user-"), F.col("user_id").cast("string")).cast("binary").alias("key"),
-            F.col("props").cast("binary").alias("value"),
-            F.lit("events").alias("topic"),
-            (F.col("user_id") % 3).cast("int").alias("partition"),
-            F.col("event_id").alias("offset"),
-            F.col("et").alias("timestamp"),
+        return self.events.selectExpr(
+            "cast(concat('user-', user_id) as binary) AS key",
+            "cast(props as binary) AS value",
+            "'events' AS topic",
+            "cast(user_id % 3 as int) AS partition",
+            "event_id AS offset",
+            "et AS timestamp",
         )
 
     @cached_property
     def device_messages(self) -> DataFrame:
         """Nested JSON payloads with 0 to 3 devices each."""
-        event = F.col("event_id")
-        count = (event % 4).cast("int")
-        device = F.when(
-            count > 0,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-                lambda at: F.struct(
-                    F.concat_ws("-", F.lit("D"), F.col("user_id").cast("string"), at.cast("string")).alias("deviceId"),
-                    F.lit("C").alias("measure"),
-                    F.when(at == 2, "ERROR").otherwise("SUCCESS").alias("status"),
-                    (F.floor("value").cast("long") + at).alias("temperature"),
-                ),
-            ),
-        )
-        body = F.struct(
-            F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customerId"),
-            F.struct(device.alias("devices")).alias("data"),
-            F.concat(F.lit("E"), event.cast("string")).alias("eventId"),
-            event.alias("eventOffset"),
-            F.lit("device").alias("eventPublisher"),
-            F.date_format("et", "yyyy-MM-dd HH:mm:ss").alias("eventTime"),
-        )
-        return self.events.select(F.to_json(body).cast("binary").alias("value"))
+        devices = """transform(sequence(1, 3), n -> named_struct(
+            'deviceId', concat('D-', user_id, '-', n), 'measure', 'C',
+            'status', CASE WHEN n = 2 THEN 'ERROR' ELSE 'SUCCESS' END,
+            'temperature', cast(floor(value) as long) + n))"""
+        body = f"""named_struct('customerId', concat('C', user_id),
+            'data', named_struct('devices', slice({devices}, 1, cast(event_id % 4 as int))),
+            'eventId', concat('E', event_id), 'eventOffset', event_id, 'eventPublisher', 'device',
+            'eventTime', date_format(et, 'yyyy-MM-dd HH:mm:ss'))"""
+        return self.events.selectExpr(f"cast(to_json({body}) as binary) AS value")
 
     @cached_property
     def tweets(self) -> DataFrame:
-        doc = F.col("doc_id")
-        return self.table("documents").select(
-            doc.cast("string").alias("tweet_id"),
-            F.concat(F.lit("@"), F.col("source")).alias("user_handle"),
+        return self.table("documents").selectExpr(
+            "cast(doc_id as string) AS tweet_id",
+            "concat('@', source) AS user_handle",
             "text",
-            F.when(doc % 7 != 0, F.col("lang")).alias("language"),
-            (doc * 1000).alias("created_at"),
-            F.when(doc % 3 != 0, doc % 50).cast("int").alias("retweet_count"),
-            F.when(doc % 5 != 0, F.col("n_chars") % 100).cast("int").alias("like_count"),
+            "CASE WHEN doc_id % 7 <> 0 THEN lang END AS language",
+            "doc_id * 1000 AS created_at",
+            "CASE WHEN doc_id % 3 <> 0 THEN cast(doc_id % 50 as int) END AS retweet_count",
+            "CASE WHEN doc_id % 5 <> 0 THEN cast(n_chars % 100 as int) END AS like_count",
         )
 
     @cached_property
     def ml_bookings(self) -> DataFrame:
         """Bookings with the sample columns that need no formula."""
         rider = passenger_defaults(join_passengers(self.bookings, self.passengers))
-        event = F.substring("booking_id", 3, 20).cast("long")
-        return rider.select(
-            F.concat(F.lit("TRIP_"), event.cast("string")).alias("trip_id"),
-            event.alias("event_id"),
+        return rider.withColumn("event_id", F.expr("cast(substring(booking_id, 3) as long)")).selectExpr(
+            "concat('TRIP_', event_id) AS trip_id",
+            "event_id",
             "pickup_district",
             "dropoff_district",
-            (F.col("estimated_distance") + 1.0).alias("distance"),
-            ((F.col("estimated_distance") + 1.0) * 2.0 + 5 + event % 11).alias("duration_minutes"),
-            F.col("hour_of_day").alias("hour"),
-            ((F.col("day_of_week") + 5) % 7).alias("day_of_week"),
+            "estimated_distance + 1.0D AS distance",
+            "(estimated_distance + 1.0D) * 2.0D + 5 + event_id % 11 AS duration_minutes",
+            "hour_of_day AS hour",
+            "(day_of_week + 5) % 7 AS day_of_week",
             "surge_multiplier",
-            F.col("requested_taxi_type").alias("taxi_type"),
-            F.col("membership_status").alias("membership"),
+            "requested_taxi_type AS taxi_type",
+            "membership_status AS membership",
             "payment_method",
             "num_passengers",
-            F.col("passenger_age").alias("customer_age"),
-            F.col("passenger_gender").alias("customer_gender"),
-            (F.col("passenger_id") % 500 + 1).alias("historical_trips"),
-            F.col("total_spent_history").alias("historical_spent"),
+            "passenger_age AS customer_age",
+            "passenger_gender AS customer_gender",
+            "passenger_id % 500 + 1 AS historical_trips",
+            "total_spent_history AS historical_spent",
         )
 
     @cached_property
     def ml_samples(self) -> DataFrame:
         priced = self.ml_bookings.withColumn("fare", F.round(trip_model.model_fare(), 2))
-        chance = F.col("event_id") * 37 % 100 / F.lit(100.0)
         labelled = priced.withColumns(
             {
-                "is_cancelled": chance < trip_model.cancel_probability(),
+                "is_cancelled": F.expr("event_id * 37 % 100 / 100.0D") < trip_model.cancel_probability(),
                 "rating": F.round(trip_model.expected_rating(), 1),
             }
         )
