@@ -1,9 +1,14 @@
 """Named queries over the test tables."""
 
+from importlib import import_module
+
+MODULES = ("booking_queries", "window_queries", "message_queries", "quality_queries")
+
 
 def all_queries():
     """Every registered query, by name."""
-    from kerbside.plans import booking_queries, window_queries  # noqa: F401
+    for name in MODULES:
+        import_module(f"{__name__}.{name}")
     from kerbside.plans.catalog import QUERIES
 
     return QUERIES
