@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import ratio
 from kerbside.operators.aggregates import numeric_columns
-from kerbside.operators.quality.folding import Fold, fact, run_fold, status
+from kerbside.operators.quality.folding import ROWS, Fold, fact, quoted, row, run_fold, status, text
 
 # Thresholds of the checks.
 COMPLETE_FROM = 0.95
@@ -19,52 +18,46 @@ OUTLIER_PASS_BELOW = 5
 OUTLIER_WARN_ABOVE = 10
 IQR_REACH = 1.5
 
-ROWS = "table::rows"
+TOTAL = quoted(ROWS)
 
 
-def _rows() -> dict[str, Column]:
-    return {ROWS: F.count(F.lit(1))}
-
-
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
+def row_count() -> dict[str, str]:
+    return {ROWS: "count(1)"}
 
 
 # --- completeness ----------------------------------------------------------------------------
 
-def completeness_facts(columns: Sequence[str]) -> dict[str, Column]:
-    return _rows() | {f"{name}::present": F.count(_quoted(name)) for name in columns}
+def completeness_facts(columns: Sequence[str]) -> dict[str, str]:
+    return row_count() | {f"{name}::present": f"count({quoted(name)})" for name in columns}
 
 
-def completeness_values(name: str, required: Sequence[str] = (), threshold: float = COMPLETE_FROM) -> dict[str, Column]:
-    nulls = fact(ROWS) - fact(f"{name}::present")
-    rate = ratio(fact(f"{name}::present"), fact(ROWS))
+def completeness_values(name: str, required: Sequence[str] = (), threshold: float = COMPLETE_FROM) -> dict[str, str]:
+    present = fact(name, "present")
+    rate = f"try_divide({present}, {TOTAL})"
     return {
-        "null_count": nulls,
+        "null_count": f"{TOTAL} - {present}",
         "completeness_rate": rate,
-        "status": status(rate >= threshold, fact(ROWS)),
-        "critical": (nulls > 0) & F.lit(name in required),
+        "status": status(f"{rate} >= {threshold!r}D", TOTAL),
+        "critical": f"{TOTAL} > {present}" if name in required else "false",
     }
 
 
-def _row(name: str, values: Mapping[str, Column]) -> Column:
-    return F.struct(F.lit(name).alias("column"), *[value.alias(key) for key, value in values.items()])
-
-
 def completeness(df: DataFrame, required: Sequence[str] = (), threshold: float = COMPLETE_FROM) -> DataFrame:
     """Nulls per column; a null in a required column is critical whatever the rate."""
-    rows = [_row(name, completeness_values(name, required, threshold)) for name in df.columns]
+    rows = [row(column=text(name), **completeness_values(name, required, threshold)) for name in df.columns]
     return run_fold(df, Fold(completeness_facts(df.columns), rows))
 
 
 # --- uniqueness ------------------------------------------------------------------------------
 
-def _as_text(name: str, kind: str) -> Column:
+def _as_text(name: str, kind: str) -> str:
     """Text that is equal exactly when the values are."""
-    value = _quoted(name)
+    value = quoted(name)
+    if kind.startswith(("struct", "array", "map")):
+        return f"to_json(named_struct('value', {value}))"
     if kind in ("double", "float"):
-        value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-    return F.to_json(F.struct(value)) if kind.startswith(("struct", "array", "map")) else value.cast("string")
+        value = f"({value} + 0.0D)"  # -0.0 and 0.0 are one value
+    return f"cast({value} as string)"
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,10 +67,9 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     before the shuffle, so a value that fills a third of the table travels once per task.
     """
     kinds = dict(df.dtypes)
-    pairs = [
-        F.struct(F.lit(name).alias("column"), _as_text(name, kinds[name]).alias("value")) for name in columns
-    ]
-    return df.select(F.inline(F.array(*pairs))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    pairs = [row(column=text(name), value=_as_text(name, kinds[name])) for name in columns]
+    narrow = df.selectExpr(f"inline(array({', '.join(pairs)}))")
+    return narrow.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,65 +80,66 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def uniqueness(df: DataFrame, columns: Sequence[str], threshold: float = UNIQUE_FROM) -> DataFrame:
     """Distinct share per declared column; below the threshold it is critical."""
     present = [name for name in columns if name in df.columns]
-    rows = [F.struct(F.lit(name).alias("column"), fact(ROWS).alias("total_count")) for name in present]
-    totals = run_fold(df, Fold(_rows(), rows))
-    counted = totals.join(distinct_counts(df, present), "column", "left")
-    distinct = F.coalesce("distinct_count", F.lit(0))
-    rate = ratio(distinct, "total_count")
-    return counted.select(
-        "column",
-        distinct.alias("distinct_count"),
-        "total_count",
-        rate.alias("uniqueness_rate"),
-        (F.col("total_count") - distinct).alias("duplicates"),
-        status(rate >= threshold, F.col("total_count")).alias("status"),
-        F.coalesce(rate < threshold, F.lit(False)).alias("critical"),
+    totals = run_fold(df, Fold(row_count(), [row(column=text(name), total_count=TOTAL) for name in present]))
+    counted = totals.join(distinct_counts(df, present), "column", "left").selectExpr(
+        "column", "coalesce(distinct_count, 0L) AS distinct_count", "total_count"
+    )
+    return counted.selectExpr(
+        "*",
+        "try_divide(distinct_count, total_count) AS uniqueness_rate",
+        "total_count - distinct_count AS duplicates",
+    ).selectExpr(
+        "*",
+        f"{status(f'uniqueness_rate >= {threshold!r}D', 'total_count')} AS status",
+        f"coalesce(uniqueness_rate < {threshold!r}D, false) AS critical",
     )
 
 
 # --- ranges ----------------------------------------------------------------------------------
 
-def _outside(name: str, low: float, high: float) -> Column:
-    return (_quoted(name) < low) | (_quoted(name) > high)
+def _outside(name: str, limits: tuple[float, float]) -> str:
+    low, high = (f"{limit!r}D" if isinstance(limit, float) else str(limit) for limit in limits)
+    return f"({quoted(name)} < {low} OR {quoted(name)} > {high})"
 
 
-def range_facts(checks: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
-    outside = {f"{name}::outside": F.count_if(_outside(name, *limits)) for name, limits in checks.items()}
-    return outside | {f"{name}::present": F.count(_quoted(name)) for name in checks}
+def range_facts(checks: Mapping[str, tuple[float, float]]) -> dict[str, str]:
+    outside = {f"{name}::outside": f"count_if({_outside(name, limits)})" for name, limits in checks.items()}
+    return outside | {f"{name}::present": f"count({quoted(name)})" for name in checks}
 
 
-def range_values(name: str, limits: tuple[float, float]) -> dict[str, Column]:
-    outside, present = fact(f"{name}::outside"), fact(f"{name}::present")
-    many = outside > present * F.lit(CRITICAL_RANGE_SHARE)
+def range_values(name: str, limits: tuple[float, float]) -> dict[str, str]:
+    outside, present = fact(name, "outside"), fact(name, "present")
+    allowed = f"{present} * {CRITICAL_RANGE_SHARE!r}D"
     return {
-        "min_expected": F.lit(float(limits[0])),
-        "max_expected": F.lit(float(limits[1])),
+        "min_expected": f"{float(limits[0])!r}D",
+        "max_expected": f"{float(limits[1])!r}D",
         "out_of_range_count": outside,
-        "validity_rate": ratio(present - outside, present),
-        "status": F.when(outside == 0, "PASS").otherwise("FAIL"),
-        "critical": (outside > 0) & many,
-        "warning": (outside > 0) & ~many,
+        "validity_rate": f"try_divide({present} - {outside}, {present})",
+        "status": f"CASE WHEN {outside} = 0 THEN 'PASS' ELSE 'FAIL' END",
+        "critical": f"{outside} > {allowed}",
+        "warning": f"{outside} > 0 AND {outside} <= {allowed}",
     }
 
 
 def ranges(df: DataFrame, checks: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Values outside closed limits per column. Nulls are not counted; a column of nulls gives no row."""
-    present = {name: limits for name, limits in checks.items() if name in df.columns}
+    known = {name: limits for name, limits in checks.items() if name in df.columns}
     rows = [
-        _row(name, range_values(name, limits) | {"present": fact(f"{name}::present")})
-        for name, limits in present.items()
+        row(column=text(name), present=fact(name, "present"), **range_values(name, limits))
+        for name, limits in known.items()
     ]
-    return run_fold(df, Fold(range_facts(present), rows), F.col("present") > 0).drop("present")
+    return run_fold(df, Fold(range_facts(known), rows), "present > 0").drop("present")
 
 
 def range_examples(df: DataFrame, checks: Mapping[str, tuple[float, float]], n: int = 5) -> DataFrame:
     """The n smallest different values outside the limits of each column."""
     pairs = [
-        F.when(_outside(name, *limits), F.struct(F.lit(name).alias("column"), _quoted(name).cast("double").alias("value")))
+        f"CASE WHEN {_outside(name, limits)} "
+        f"THEN {row(column=text(name), value=f'cast({quoted(name)} as double)')} END"
         for name, limits in checks.items()
         if name in df.columns
     ]
-    found = df.select(F.explode(F.array_compact(F.array(*pairs))).alias("pair")).select("pair.*").distinct()
+    found = df.selectExpr(f"inline(array_compact(array({', '.join(pairs)})))").distinct()
     return _smallest(found, n).groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("examples"))
 
 
@@ -166,46 +159,43 @@ def outliers(df: DataFrame, rel_err: float = 0.01, columns: Sequence[str] | None
     subquery, not through the driver or a join. A column of nulls gives no row.
     """
     names = list(columns) if columns else numeric_columns(df)
-    accuracy = F.lit(max(1, round(1 / rel_err)))
+    accuracy = max(1, round(1 / rel_err))
     sketches = [
-        F.percentile_approx(_quoted(name).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(name) for name in names
+        f"percentile_approx(cast({quoted(name)} as double), array(0.25, 0.5, 0.75), {accuracy})" for name in names
     ]
-    quartiles = df.agg(*sketches).select(F.struct(*[_quoted(name) for name in names]).alias("q")).scalar()
-
-    def quartile(name: str, place: int) -> Column:
-        return quartiles.getField(name)[place]
-
-    facts = {}
-    for name in names:
-        q1, q3 = quartile(name, 0), quartile(name, 2)
-        reach = (q3 - q1) * IQR_REACH
-        facts[f"{name}::beyond"] = F.count_if((_quoted(name) < q1 - reach) | (_quoted(name) > q3 + reach))
-        facts[f"{name}::present"] = F.count(_quoted(name))
-    rows = []
-    for name in names:
-        beyond, present = fact(f"{name}::beyond"), fact(f"{name}::present")
-        share = ratio(beyond, present) * 100
+    quartiles = df.selectExpr(
+        "struct(" + ", ".join(f"{sketch} AS c{place}" for place, sketch in enumerate(sketches)) + ") AS quartiles"
+    ).scalar()
+    facts, rows = {}, []
+    for place, name in enumerate(names):
+        q1, median, q3 = (f"given.c{place}[{at}]" for at in range(3))
+        reach = f"({q3} - {q1}) * {IQR_REACH!r}D"
+        value, present, beyond = quoted(name), fact(name, "present"), fact(name, "beyond")
+        facts[f"{name}::beyond"] = f"count_if({value} < {q1} - {reach} OR {value} > {q3} + {reach})"
+        facts[f"{name}::present"] = f"count({value})"
+        share = f"try_divide({beyond}, {present}) * 100"
         rows.append(
-            _row(
-                name,
-                {
-                    "q1": quartile(name, 0),
-                    "median": quartile(name, 1),
-                    "q3": quartile(name, 2),
-                    "iqr": quartile(name, 2) - quartile(name, 0),
-                    "outliers": beyond,
-                    "outlier_percentage": share,
-                    "status": F.when(share < OUTLIER_PASS_BELOW, "PASS").otherwise("WARNING"),
-                    "warning": share > OUTLIER_WARN_ABOVE,
-                    "present": present,
-                },
+            row(
+                column=text(name),
+                q1=q1,
+                median=median,
+                q3=q3,
+                iqr=f"{q3} - {q1}",
+                outliers=beyond,
+                outlier_percentage=share,
+                status=f"CASE WHEN {share} < {OUTLIER_PASS_BELOW} THEN 'PASS' ELSE 'WARNING' END",
+                warning=f"{share} > {OUTLIER_WARN_ABOVE}",
+                present=present,
             )
         )
-    return run_fold(df, Fold(facts, rows), F.col("present") > 0).drop("present")
+    return run_fold(df, Fold(facts, rows), "present > 0", quartiles).drop("present")
 
 
 # --- profile ---------------------------------------------------------------------------------
 
+NUMBER_FACTS = {"mean": "avg", "stddev": "stddev", "min": "min", "max": "max"}
+
+
 def profile(df: DataFrame, exact: bool = True, samples: int = 10, rsd: float = 0.05) -> DataFrame:
     """One row per column: type, nulls, different values, number facts and sample values.
 
@@ -214,46 +204,40 @@ def profile(df: DataFrame, exact: bool = True, samples: int = 10, rsd: float = 0
     is shuffled. Samples are the smallest values of text columns.
     """
     kinds = dict(df.dtypes)
-    facts = completeness_facts(df.columns)
-    for name in df.columns:
-        if not exact:
-            # A sketch leaves null out; as a value of the column it counts once.
-            facts[f"{name}::distinct"] = F.approx_count_distinct(_quoted(name), rsd)
-        if name in numeric_columns(df):
-            number = _quoted(name)
-            facts |= {
-                f"{name}::mean": F.avg(number),
-                f"{name}::stddev": F.stddev(number),
-                f"{name}::min": F.min(number),
-                f"{name}::max": F.max(number),
-            }
-    rows = []
+    numeric = set(numeric_columns(df))
+    facts, rows = completeness_facts(df.columns), []
     for name in df.columns:
-        nulls = fact(ROWS) - fact(f"{name}::present")
-        numeric = f"{name}::mean" in facts
+        present = fact(name, "present")
+        nulls = f"{TOTAL} - {present}"
         values = {
-            "data_type": F.lit(kinds[name]),
-            "total_rows": fact(ROWS),
+            "column": text(name),
+            "data_type": text(kinds[name]),
+            "total_rows": TOTAL,
             "null_count": nulls,
-            "null_percentage": ratio(nulls, fact(ROWS)) * 100,
-            "count": F.when(F.lit(numeric), fact(f"{name}::present")),
+            "null_percentage": f"try_divide({nulls}, {TOTAL}) * 100",
+            "count": present if name in numeric else "cast(null as long)",
         }
-        for key in ("mean", "stddev", "min", "max"):
-            values[key] = (fact(f"{name}::{key}") if numeric else F.lit(None)).cast("double")
+        for key, function in NUMBER_FACTS.items():
+            if name in numeric:
+                facts[f"{name}::{key}"] = f"cast({function}({quoted(name)}) as double)"
+            values[key] = fact(name, key) if name in numeric else "cast(null as double)"
         if not exact:
-            values["distinct_count"] = fact(f"{name}::distinct") + F.when(nulls > 0, 1).otherwise(0)
-        rows.append(_row(name, values))
-    facts_of = run_fold(df, Fold(facts, rows))
+            # A sketch leaves null out; as a value of the column it counts once.
+            facts[f"{name}::distinct"] = f"approx_count_distinct({quoted(name)}, {rsd!r}D)"
+            values["distinct_count"] = f"{fact(name, 'distinct')} + CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END"
+        rows.append(row(**values))
+    found = run_fold(df, Fold(facts, rows))
     if exact:
         counts = value_counts(df, df.columns)
-        facts_of = facts_of.join(
-            counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count")), "column", "left"
-        ).withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
-        text = [name for name, kind in kinds.items() if kind == "string"]
-        if samples and text:
-            seen = counts.filter(F.col("column").isin(text) & F.col("value").isNotNull())
-            listed = _smallest(seen.select("column", "value"), samples).groupBy("column").agg(
-                F.sort_array(F.collect_list("value")).alias("sample_values")
+        distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count"))
+        found = found.join(distinct, "column", "left").fillna(0, "distinct_count")
+        listed = [name for name, kind in kinds.items() if kind == "string"]
+        if samples and listed:
+            seen = counts.filter(F.col("column").isin(listed) & F.col("value").isNotNull())
+            smallest = _smallest(seen.select("column", "value"), samples)
+            found = found.join(
+                smallest.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("sample_values")),
+                "column",
+                "left",
             )
-            facts_of = facts_of.join(listed, "column", "left")
-    return facts_of.withColumn("cardinality", F.coalesce(ratio("distinct_count", "total_rows"), F.lit(0.0)))
+    return found.withColumn("cardinality", F.expr("coalesce(try_divide(distinct_count, total_rows), 0.0D)"))

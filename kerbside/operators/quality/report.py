@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import case, ratio
@@ -53,45 +53,34 @@ def _fold(name: str, df: DataFrame, rules: TableRules) -> Fold:
     row_rules = ROW_RULES[name]() if name in ROW_RULES else {}
     limits = {column: pair for column, pair in rules.ranges.items() if column in df.columns}
     facts = K.completeness_facts(df.columns) | K.range_facts(limits) | R.rule_facts(row_rules)
-    never = F.lit(False)
-    rows = [
-        item(
-            "profiling",
-            "table",
-            F.lit("INFO"),
-            never,
-            never,
-            metrics(total_rows=fact(K.ROWS), total_columns=F.lit(len(df.columns))),
-        )
-    ]
+    size = {"total_rows": K.TOTAL, "total_columns": str(len(df.columns))}
+    rows = [item("profiling", "table", "'INFO'", size)]
     for column in df.columns:
         of = K.completeness_values(column, rules.required)
-        numbers = metrics(null_count=of["null_count"], completeness_rate=of["completeness_rate"])
-        rows.append(item("completeness", column, of["status"], of["critical"], never, numbers))
+        numbers = {key: of[key] for key in ("null_count", "completeness_rate")}
+        rows.append(item("completeness", column, of["status"], numbers, of["critical"]))
     for column, pair in limits.items():
         of = K.range_values(column, pair)
-        numbers = metrics(
-            **{key: of[key] for key in ("min_expected", "max_expected", "out_of_range_count", "validity_rate")}
-        )
-        # A column of nulls has no range to check and is left out further down.
-        state = F.when(fact(f"{column}::present") > 0, of["status"])
-        rows.append(item("ranges", column, state, of["critical"], of["warning"], numbers))
+        numbers = {key: of[key] for key in ("min_expected", "max_expected", "out_of_range_count", "validity_rate")}
+        # A column of nulls has no range to check; its row goes with the null status.
+        state = f"CASE WHEN {fact(column, 'present')} > 0 THEN {of['status']} END"
+        rows.append(item("ranges", column, state, numbers, of["critical"], of["warning"]))
     for rule in row_rules:
-        broken = fact(f"rule::{rule}")
-        state = F.when(broken == 0, "PASS").otherwise("FAIL")
-        rows.append(item("business_rules", rule, state, never, never, metrics(violations=broken)))
+        broken = fact(rule, "broken")
+        state = f"CASE WHEN {broken} = 0 THEN 'PASS' ELSE 'FAIL' END"
+        rows.append(item("business_rules", rule, state, {"violations": broken}))
     return Fold(facts, rows)
 
 
-def _report_rows(df: DataFrame, check: str, name: str, critical: str | None, warning: str | None, *numbers: str):
+def _report_rows(df: DataFrame, check: str, name: str, *numbers: str, critical: str = "false", warning: str = "false"):
     """Rows of a single check in the layout of the report."""
-    return df.select(
-        F.lit(check).alias("check"),
-        F.col(name).alias("item"),
+    return df.selectExpr(
+        f"'{check}' AS check",
+        f"{name} AS item",
         "status",
-        (F.col(critical) if critical else F.lit(False)).alias("critical"),
-        (F.col(warning) if warning else F.lit(False)).alias("warning"),
-        metrics(**{number: F.col(number) for number in numbers}).alias("metrics"),
+        f"{critical} AS critical",
+        f"{warning} AS warning",
+        f"{metrics({number: number for number in numbers})} AS metrics",
     )
 
 
@@ -107,22 +96,22 @@ def run_suite(
     parts: list[tuple[str, DataFrame]] = []
     for name, df in datasets.items():
         of = rules.get(name, TableRules())
-        parts.append((name, run_fold(df, _fold(name, df, of), F.col("status").isNotNull())))
+        parts.append((name, run_fold(df, _fold(name, df, of), "status IS NOT NULL")))
         unique = [column for column in of.unique if column in df.columns]
         if unique:
             numbers = ("distinct_count", "total_count", "uniqueness_rate", "duplicates")
-            parts.append((name, _report_rows(K.uniqueness(df, unique), "uniqueness", "column", "critical", None, *numbers)))
+            parts.append((name, _report_rows(K.uniqueness(df, unique), "uniqueness", "column", *numbers, critical="critical")))
         if numeric_columns(df):
             numbers = ("q1", "median", "q3", "iqr", "outliers", "outlier_percentage")
             found = K.outliers(df, rel_err)
-            parts.append((name, _report_rows(found, "distribution", "column", None, "warning", *numbers)))
+            parts.append((name, _report_rows(found, "distribution", "column", *numbers, warning="warning")))
     if {"trips", "taxis"} <= set(datasets):
         crowded = R.rule_seats(datasets["trips"], datasets["taxis"])
-        parts.append(("trips", _report_rows(crowded, "business_rules", "rule", None, None, "violations")))
+        parts.append(("trips", _report_rows(crowded, "business_rules", "rule", "violations")))
     for check, (table, _, master, _, _) in R.REFERENCES.items():
         if {table, master} <= set(datasets):
             found = R.ref_check(datasets, check)
-            parts.append((table, _report_rows(found, "consistency", "rule", None, None, "invalid_references")))
+            parts.append((table, _report_rows(found, "consistency", "rule", "invalid_references")))
     labelled = [part.select(F.lit(name).alias("dataset"), "*") for name, part in parts]
     return reduce(DataFrame.unionByName, labelled)
 
@@ -144,57 +133,30 @@ def summary(report: DataFrame) -> DataFrame:
 
 def recommend(summary_row: DataFrame) -> DataFrame:
     """Up to four lines of advice in order of urgency."""
-
-    def line(place: int, when: Column, *words: Column) -> Column:
-        return F.when(when, F.struct(F.lit(place).alias("place"), F.concat(*words).alias("advice")))
-
-    def number(name: str) -> Column:
-        return F.col(name).cast("string")
-
-    lines = F.array(
-        line(1, F.col("critical_issues") > 0, F.lit("Address "), number("critical_issues"), F.lit(" critical issues immediately")),
-        line(
-            2,
-            F.col("failed_checks") > 0,
-            F.lit("Investigate and fix "),
-            number("failed_checks"),
-            F.lit(" failed quality checks"),
-        ),
-        line(3, F.col("warnings") > 0, F.lit("Review "), number("warnings"), F.lit(" warning conditions")),
-        line(
-            4,
-            F.col("pass_rate") < 100,
-            F.lit("Implement data validation rules to prevent future quality issues"),
-        ),
+    lines = (
+        ("critical_issues > 0", "concat('Address ', critical_issues, ' critical issues immediately')"),
+        ("failed_checks > 0", "concat('Investigate and fix ', failed_checks, ' failed quality checks')"),
+        ("warnings > 0", "concat('Review ', warnings, ' warning conditions')"),
+        ("pass_rate < 100", "'Implement data validation rules to prevent future quality issues'"),
+    )
+    listed = ", ".join(
+        f"CASE WHEN {when} THEN named_struct('place', {place}, 'advice', {advice}) END"
+        for place, (when, advice) in enumerate(lines, 1)
     )
-    return summary_row.select(F.inline(F.array_compact(lines)))
+    return summary_row.selectExpr(f"inline(array_compact(array({listed})))")
 
 
 def monitoring(report: DataFrame) -> DataFrame:
     """(metric, value) rows for monitoring: score, issues and the size of each dataset."""
-    totals = summary(report).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(label).alias("metric"), F.col(name).cast("double").alias("value"))
-                    for label, name in (
-                        ("data_quality_score", "pass_rate"),
-                        ("critical_issues", "critical_issues"),
-                        ("warnings", "warnings"),
-                        ("total_checks", "total_checks"),
-                    )
-                ]
-            )
-        )
-    )
-    sizes = report.filter(F.col("check") == "profiling").select(
-        F.explode(
-            F.create_map(
-                F.concat("dataset", F.lit("_row_count")),
-                F.col("metrics")["total_rows"],
-                F.concat("dataset", F.lit("_column_count")),
-                F.col("metrics")["total_columns"],
-            )
-        ).alias("metric", "value")
+    figures = {
+        "data_quality_score": "pass_rate",
+        "critical_issues": "critical_issues",
+        "warnings": "warnings",
+        "total_checks": "total_checks",
+    }
+    totals = summary(report).selectExpr(f"explode({metrics(figures)}) AS (metric, value)")
+    sizes = report.filter("check = 'profiling'").selectExpr(
+        "explode(map(concat(dataset, '_row_count'), metrics['total_rows'], "
+        "concat(dataset, '_column_count'), metrics['total_columns'])) AS (metric, value)"
     )
     return totals.unionByName(sizes)

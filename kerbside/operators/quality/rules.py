@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import ratio
 from kerbside.operators.joins import lookup, missing_keys
-from kerbside.operators.quality.folding import Fold, fact, run_fold
+from kerbside.operators.quality.folding import Fold, fact, row, run_fold, text
 
 # Fixed values of the rules.
 SEATS_OF_TYPE = {
@@ -35,48 +34,49 @@ RULE_TEXT = {
 }
 
 
-def _beyond(value: Column, limits: tuple[float, float]) -> Column:
-    return (value < limits[0]) | (value > limits[1])
+def _beyond(value: str, limits: tuple[float, float]) -> str:
+    return f"({value} < {limits[0]} OR {value} > {limits[1]})"
 
 
-def driver_rules() -> dict[str, Column]:
-    return {"driver_ratings": _beyond(F.col("Rating"), RATING_RANGE)}
+def driver_rules() -> dict[str, str]:
+    return {"driver_ratings": _beyond("Rating", RATING_RANGE)}
 
 
-def taxi_rules() -> dict[str, Column]:
+def taxi_rules() -> dict[str, str]:
     """Seats outside the limits of the taxi's type; other types have no limits."""
-    seats = F.col("TaxiPassengerCapacity")
-    wrong = F.lit(False)
-    for kind, limits in SEATS_OF_TYPE.items():
-        wrong = wrong | ((F.col("TaxiType") == kind) & _beyond(seats, limits))
-    return {"taxi_capacity": wrong}
+    wrong = [
+        f"(TaxiType = {text(kind)} AND {_beyond('TaxiPassengerCapacity', limits)})"
+        for kind, limits in SEATS_OF_TYPE.items()
+    ]
+    return {"taxi_capacity": " OR ".join(wrong)}
 
 
-def trip_rules() -> dict[str, Column]:
+def trip_rules() -> dict[str, str]:
     """Per-kilometre rules; a trip of zero length breaks none."""
-    minutes = F.col("TripDurationInSeconds") / 60
     return {
-        "fare_reasonableness": _beyond(ratio("TripFare", "DistanceTravelled"), FARE_PER_KM_RANGE),
-        "duration_reasonableness": _beyond(ratio(minutes, "DistanceTravelled"), MINUTES_PER_KM_RANGE),
+        "fare_reasonableness": _beyond("try_divide(TripFare, DistanceTravelled)", FARE_PER_KM_RANGE),
+        "duration_reasonableness": _beyond(
+            "try_divide(TripDurationInSeconds / 60, DistanceTravelled)", MINUTES_PER_KM_RANGE
+        ),
     }
 
 
-def rule_facts(rules: Mapping[str, Column]) -> dict[str, Column]:
-    return {f"rule::{name}": F.count_if(broken) for name, broken in rules.items()}
+def rule_facts(rules: Mapping[str, str]) -> dict[str, str]:
+    return {f"{name}::broken": f"count_if({broken})" for name, broken in rules.items()}
 
 
-def _verdict(name: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("rule"),
-        F.lit(RULE_TEXT[name]).alias("description"),
-        violations.alias("violations"),
-        F.when(violations == 0, "PASS").otherwise("FAIL").alias("status"),
+def _verdict(name: str, violations: str) -> str:
+    return row(
+        rule=text(name),
+        description=text(RULE_TEXT[name]),
+        violations=violations,
+        status=f"CASE WHEN {violations} = 0 THEN 'PASS' ELSE 'FAIL' END",
     )
 
 
-def check_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def check_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """All row rules of one table in one pass."""
-    rows = [_verdict(name, fact(f"rule::{name}")) for name in rules]
+    rows = [_verdict(name, fact(name, "broken")) for name in rules]
     return run_fold(df, Fold(rule_facts(rules), rows))
 
 
@@ -107,7 +107,7 @@ def rule_seats(trips: DataFrame, taxis: DataFrame) -> DataFrame:
     crowded = F.col("NumberOfPassengers") > F.col("TaxiPassengerCapacity")
     violations = F.coalesce(F.sum(F.when(crowded, F.col("trips"))), F.lit(0))
     one_row = seated.agg(violations.alias("crowded"))
-    return one_row.select(F.inline(F.array(_verdict("passenger_capacity", F.col("crowded")))))
+    return one_row.selectExpr(f"inline(array({_verdict('passenger_capacity', 'crowded')}))")
 
 
 REFERENCES = {
@@ -127,9 +127,8 @@ def ref_missing(datasets: Mapping[str, DataFrame], check: str) -> DataFrame:
 def ref_check(datasets: Mapping[str, DataFrame], check: str) -> DataFrame:
     """How many different keys have no master row."""
     counted = ref_missing(datasets, check).agg(F.count(F.lit(1)).alias("missing"))
-    return counted.select(F.inline(F.array(_verdict(check, F.col("missing"))))).withColumnRenamed(
-        "violations", "invalid_references"
-    )
+    verdict = counted.selectExpr(f"inline(array({_verdict(check, 'missing')}))")
+    return verdict.withColumnRenamed("violations", "invalid_references")
 
 
 def ref_sample(datasets: Mapping[str, DataFrame], check: str, n: int = 10) -> DataFrame:
