@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("booking_queries", "window_queries", "message_queries", "quality_queries")
+MODULES = ("booking_queries", "window_queries", "message_queries", "quality_queries", "stream_queries")
 
 
 def all_queries():
