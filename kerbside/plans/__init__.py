@@ -2,7 +2,14 @@
 
 from importlib import import_module
 
-MODULES = ("booking_queries", "window_queries", "message_queries", "quality_queries", "stream_queries")
+MODULES = (
+    "booking_queries",
+    "window_queries",
+    "message_queries",
+    "quality_queries",
+    "stream_queries",
+    "learning_queries",
+)
 
 
 def all_queries():
