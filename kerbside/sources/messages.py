@@ -38,9 +38,10 @@ def read_socket(spark: SparkSession, host: str, port: int, include_timestamp: bo
     return reader.option("includeTimestamp", True).load() if include_timestamp else reader.load()
 
 
-def read_rate(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
-    """Numbered ticks."""
-    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+def read_rate(spark: SparkSession, rows_per_second: int = 1, partitions: int | None = None) -> DataFrame:
+    """Numbered ticks. A continuous query holds one core per partition for as long as it runs."""
+    reader = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
+    return (reader.option("numPartitions", partitions) if partitions else reader).load()
 
 
 def read_rate_batches(spark: SparkSession, rows_per_batch: int, start_ms: int = 0, step_ms: int = 1000) -> DataFrame:
