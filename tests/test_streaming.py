@@ -187,11 +187,7 @@ def test_rate_ticks_as_sensor_messages(spark):
     ticks = read_rate_batches(stream_session(spark), 9)
     messages = D.to_message(D.derive_sensor(ticks, seed=3), "sensor_id")
     path = scratch_path(spark, "ticks")
-    query = sinks.to_files(messages, "parquet", f"{path}/out", f"{path}/checkpoint", "1 second")
-    try:
-        query.processAllAvailable()
-    finally:
-        R.stop_all([query])
+    sinks.to_files(messages, "parquet", f"{path}/out", f"{path}/checkpoint", NOW).awaitTermination(60)
     found = D.parse_json(spark.read.parquet(f"{path}/out"), schemas.SENSOR_MESSAGE, keep=("key",)).collect()
     assert len(found) >= 9 and {r.key for r in found} == {"sensor_1", "sensor_2", "sensor_3"}
     assert all(25 <= r.temperature <= 33 and r.sensor_id == r.key and r.creation_time for r in found)
