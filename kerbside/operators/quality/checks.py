@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -50,26 +51,45 @@ def completeness(df: DataFrame, required: Sequence[str] = (), threshold: float =
 
 # --- uniqueness ------------------------------------------------------------------------------
 
-def _as_text(name: str, kind: str) -> str:
-    """Text that is equal exactly when the values are."""
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+REAL = ("float", "double")
+NESTED = ("struct", "array", "map")
+
+
+def _slot(name: str, kind: str) -> tuple[str, str]:
+    """The type a column's values are compared in, and the value in that type."""
     value = quoted(name)
-    if kind.startswith(("struct", "array", "map")):
-        return f"to_json(named_struct('value', {value}))"
-    if kind in ("double", "float"):
-        value = f"({value} + 0.0D)"  # -0.0 and 0.0 are one value
-    return f"cast({value} as string)"
+    if kind in WHOLE:
+        return "bigint", f"cast({value} as bigint)"
+    if kind in REAL:
+        return "double", f"cast({value} as double)"
+    if kind.startswith(NESTED):
+        return "string", f"to_json(named_struct('value', {value}))"
+    return kind, value
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How often each value of each column occurs: (column, value, n), null being a value too.
+    """How often each value of each column occurs, null being a value too.
 
-    Each row becomes one narrow (column, value) row per column. These are combined inside each task
-    before the shuffle, so a value that fills a third of the table travels once per task.
+    Each row becomes one narrow row per column: the column's name, and one field per type in use, of
+    which the column's own holds the value (``as_string``, ``as_bigint``, ...). Numbers stay numbers.
+    Equal rows are combined inside each task before the shuffle, so a value that fills a third of the
+    table travels once per task, and the work is linear in the number of columns.
     """
     kinds = dict(df.dtypes)
-    pairs = [row(column=text(name), value=_as_text(name, kinds[name])) for name in columns]
-    narrow = df.selectExpr(f"inline(array({', '.join(pairs)}))")
-    return narrow.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    slots = {name: _slot(name, kinds[name]) for name in columns}
+    types = sorted({kind for kind, _ in slots.values()} | {"string"})
+
+    def narrow(name: str) -> str:
+        own, value = slots[name]
+        fields = {field(kind): value if kind == own else f"cast(null as {kind})" for kind in types}
+        return row(column=text(name), **fields)
+
+    def field(kind: str) -> str:
+        return "as_" + re.sub(r"\W+", "_", kind)
+
+    rows = df.selectExpr(f"inline(array({', '.join(narrow(name) for name in columns)}))")
+    return rows.groupBy("column", *[field(kind) for kind in types]).agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -233,8 +253,8 @@ def profile(df: DataFrame, exact: bool = True, samples: int = 10, rsd: float = 0
         found = found.join(distinct, "column", "left").fillna(0, "distinct_count")
         listed = [name for name, kind in kinds.items() if kind == "string"]
         if samples and listed:
-            seen = counts.filter(F.col("column").isin(listed) & F.col("value").isNotNull())
-            smallest = _smallest(seen.select("column", "value"), samples)
+            seen = counts.filter(F.col("column").isin(listed) & F.col("as_string").isNotNull())
+            smallest = _smallest(seen.select("column", F.col("as_string").alias("value")), samples)
             found = found.join(
                 smallest.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("sample_values")),
                 "column",
