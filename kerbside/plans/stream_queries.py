@@ -8,23 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators import booking_windows as B
 from kerbside.operators import enrich as E
+from kerbside.operators import measures as M
 from kerbside.operators import series_windows as S
 from kerbside.operators import trip_windows as T
+from kerbside.operators.quality.rules import rule_driver_rating
+from kerbside.operators.windows import windowed
 from kerbside.plans.catalog import query
 from kerbside.plans.message_queries import tweet_messages
 from kerbside.plans.oracle_views import half_up, micro_avg, micro_sum, windows
+from kerbside.plans.quality_queries import _rule_sql
 from kerbside.plans.tables import Tables
 from kerbside.plans.window_queries import _late_sql, _pairs
 from kerbside.session import scratch_path, stream_session
 from kerbside.sources import files
+from kerbside.sources.dimensions import load_datasets
 from kerbside.streaming import sinks
 from kerbside.streaming.jobs import tweet_job
-from kerbside.streaming.runtime import StreamSpec, finish_all, start_all
+from kerbside.streaming.runtime import StreamSpec, finish_all, query_status, start_all, state_rows, stop_all
 from kerbside.streaming.state import district_state
 
 NOW = "available_now"
@@ -307,3 +314,149 @@ def _(t):
 )
 def _(t):
     return update(district_state(stream_tables(t).trips_events), "pickup_district")
+
+
+# --- triggers, late rows and kept state ------------------------------------------------------
+
+_PLACES = "SELECT pickup_district AS pickup_location, count(*) AS count FROM bookings GROUP BY ALL"
+
+
+def _by_trigger(t: Tables, trigger: str | None) -> DataFrame:
+    """A query without an end, stopped once it has taken all rows."""
+    places = B.bw_location(stream_tables(t).bookings.withColumnRenamed("pickup_district", "pickup_location"))
+    path = scratch_path(t.spark, "trigger")
+    running = sinks.to_snapshots(places, f"{path}/out", f"{path}/checkpoint", "complete", trigger)
+    try:
+        running.processAllAvailable()
+    finally:
+        stop_all([running])
+    return sinks.latest_snapshot(sinks.read_batches(t.spark, f"{path}/out", places.schema.add(sinks.BATCH, "long")))
+
+
+@query("rt_trig_proc", _PLACES, ("bookings",))
+def _(t):
+    return _by_trigger(t, "1 second")
+
+
+@query("rt_trig_default", _PLACES, ("bookings",))
+def _(t):
+    return _by_trigger(t, None)
+
+
+@query("snk_memory", _PLACES, ("bookings",))
+def _(t):
+    """One row per district, so a table in the driver's memory is fine."""
+    streaming = stream_tables(t)
+    places = B.bw_location(streaming.bookings.withColumnRenamed("pickup_district", "pickup_location"))
+    checkpoint = scratch_path(t.spark, "memory")
+    sinks.to_memory(places, "kerbside_places", "complete", NOW, checkpoint).awaitTermination()
+    return streaming.spark.table("kerbside_places")
+
+
+@query("rt_progress")
+def _(t):
+    report = S.st_tumble(stream_tables(t).trades)
+    path = scratch_path(t.spark, "progress")
+    finished = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "complete", NOW, "trades")
+    finished.awaitTermination()
+    return query_status(t.spark, [finished])
+
+
+_ON_TIME = "is_late_data IS NULL"
+_FIRST_MARK = (
+    "(SELECT make_timestamp(epoch_us(max(event_timestamp)) // 1000 * 1000) - to_seconds(7200) FROM trips_events "
+    f"WHERE {_ON_TIME})"
+)
+
+
+@query(
+    "tm_late_drop",
+    f"SELECT window_start, window_end, pickup_district, count(trip_id) AS n FROM "
+    f"{windows('trips_events', 'event_timestamp', 3600)} WHERE {closed('trips_events', 'event_timestamp', 7200)} "
+    f"AND ({_ON_TIME} OR window_end > {_FIRST_MARK}) GROUP BY ALL",
+    ("trips_events",),
+)
+def _(t):
+    """Late trips arrive after all others: those of windows behind the two-hour watermark are dropped."""
+    path = scratch_path(t.spark, "late")
+    trips = t.trips_events.select("trip_id", "event_timestamp", "pickup_district", "is_late_data")
+    session = stream_session(t.spark)
+    late = F.col("is_late_data").isNotNull()
+    for part in (~late, late):
+        trips.filter(part).write.mode("append").parquet(f"{path}/in")
+        arriving = session.readStream.schema(trips.schema).parquet(f"{path}/in")
+        report = windowed(
+            arriving, "event_timestamp", "1 hour", [M.count_of("n", "trip_id")], ["pickup_district"], delay="2 hours"
+        )
+        sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "append", NOW).awaitTermination()
+    return sinks.read_batches(session, f"{path}/out", report.schema.add(sinks.BATCH, "long")).drop(sinks.BATCH)
+
+
+@query(
+    "tm_state_keep",
+    "SELECT 'kept' AS state, count(*) AS rows FROM (SELECT 1 FROM "
+    f"{windows('trips_events', 'event_timestamp', 120)} GROUP BY window_start, pickup_district) UNION ALL "
+    "SELECT 'evicted', count(*) FROM (SELECT 1 FROM "
+    f"{windows('trips_events', 'event_timestamp', 180)} WHERE NOT ({closed('trips_events', 'event_timestamp', 120)}) "
+    "GROUP BY window_start, pickup_district)",
+    ("trips_events",),
+)
+def _(t):
+    trips = stream_tables(t).trips_events
+    held = []
+    for name, report, mode in (("kept", T.wm_none(trips), "complete"), ("evicted", T.tw_districts(trips), "append")):
+        path = scratch_path(t.spark, "state")
+        finished = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", mode, NOW)
+        finished.awaitTermination()
+        held.append((name, state_rows(finished)))
+    return t.spark.createDataFrame(held, "state string, rows long")
+
+
+# --- reports, models and datasets on disk ----------------------------------------------------
+
+@query(
+    "src_datasets",
+    "SELECT 'drivers' AS dataset, count(*) AS n, round(sum(Rating), 4) AS total FROM drivers UNION ALL "
+    "SELECT 'passengers', count(*), round(sum(AmountSpent), 4) FROM all_passengers",
+    ("drivers", "all_passengers"),
+)
+def _(t):
+    path = scratch_path(t.spark, "datasets")
+    numbers = {"drivers": (t.drivers, "Rating"), "passengers": (t.all_passengers, "AmountSpent")}
+    for name, (df, _) in numbers.items():
+        df.write.option("header", True).csv(f"{path}/{name}")
+    found = load_datasets(t.spark, {name: f"{path}/{name}" for name in (*numbers, "trips")})
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(numbers[name][1]), 4).alias("total")).select(
+            F.lit(name).alias("dataset"), "*"
+        )
+        for name, df in found.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "snk_report",
+    _rule_sql("driver_ratings", "drivers", "NOT Rating BETWEEN 1 AND 5"),
+    ("drivers",),
+)
+def _(t):
+    path = scratch_path(t.spark, "report")
+    sinks.write_report(rule_driver_rating(t.drivers), path)
+    return t.spark.read.schema("rule string, description string, violations long, status string").json(path)
+
+
+@query(
+    "snk_model",
+    "SELECT trip_id, pickup_district FROM ml_bookings",
+    ("ml_bookings",),
+)
+def _(t):
+    """A fitted pipeline is saved, loaded and turns districts into numbers and back."""
+    path = scratch_path(t.spark, "model")
+    places = t.ml_bookings.select("trip_id", "pickup_district")
+    indexer = StringIndexer(inputCol="pickup_district", outputCol="place").fit(places)
+    back = IndexToString(inputCol="place", outputCol="name", labels=indexer.labels)
+    sinks.save_model(PipelineModel([indexer, back]), path)
+    named = PipelineModel.load(path).transform(places)
+    return named.select("trip_id", F.col("name").alias("pickup_district"))
