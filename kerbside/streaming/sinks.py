@@ -40,21 +40,25 @@ def kafka_sink_options(topic: str, servers: str, producer: Mapping[str, object]
     return {"kafka.bootstrap.servers": servers, "topic": topic} | settings
 
 
-def to_kafka(
-    df: DataFrame,
+def messages_to_kafka(
+    messages: DataFrame,
     topic: str,
-    key: str,
     servers: str,
     checkpoint: str,
     producer: Mapping[str, object] | None = None,
     trigger: Trigger = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Rows as JSON messages, at least once. Needs Spark's Kafka connector on the class path."""
-    out = writer(to_message(df, key), "append", trigger, checkpoint, name).format("kafka")
+    """Key and value columns to a topic, at least once. Needs Spark's Kafka connector on the class path."""
+    out = writer(messages, "append", trigger, checkpoint, name).format("kafka")
     return out.options(**kafka_sink_options(topic, servers, producer)).start()
 
 
+def to_kafka(df: DataFrame, topic: str, key: str, servers: str, checkpoint: str, **settings) -> StreamingQuery:
+    """Rows as JSON messages under a key column; settings as for ``messages_to_kafka``."""
+    return messages_to_kafka(to_message(df, key), topic, servers, checkpoint, **settings)
+
+
 def to_files(
     df: DataFrame,
     kind: str,
