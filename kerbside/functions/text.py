@@ -17,8 +17,8 @@ NEGATIVE = ("bad", "terrible", "hate", "awful", "horrible", "sad", "worst", "poo
 WORD_CHARS = r"[\p{L}\p{N}_]+"
 # White space of every script; Java's \s alone covers ASCII only.
 SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-# Anything else. The printable ASCII range comes first: most characters are decided by one comparison.
-NON_SPACE = f"[!-~[^{SPACE}]]"
+# Anything else. Two wide ranges come first, so that most characters are decided by one comparison.
+NON_SPACE = r"[!-~\x{a1}-\x{167f}" + f"[^{SPACE}]]"
 
 
 def _tagged(text: Column | str, mark: str) -> Column:
