@@ -43,7 +43,8 @@ def windowed(
     Tumbling windows, and sliding windows of a stream, are one aggregation; Spark combines rows
     before the shuffle, so a hot key travels as one row per task. Sliding windows of a batch are
     first aggregated into panes of one slide each, and panes are then added up into windows: rows
-    are not multiplied by length / slide, only the far fewer panes are.
+    are not multiplied by length / slide, only the far fewer panes are. A stream does not take panes:
+    a pane would close before the windows it belongs to, and late rows would be lost to all of them.
     """
     span, step = seconds(length), seconds(slide if slide is not None else length)
     if delay:
