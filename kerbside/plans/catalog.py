@@ -53,4 +53,11 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: plain(QUERIES[name].run(Tables(spark, folder)))
+    """A named query as a function of a session and a folder. The modules with queries load on the first call."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        from kerbside.plans import all_queries
+
+        return plain(all_queries()[name].run(Tables(spark, folder)))
+
+    return run
