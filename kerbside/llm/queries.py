@@ -1,4 +1,4 @@
-"""The named queries of this subpackage and their DuckDB SQL, where SQL can say it."""
+"""The named queries of this subpackage; their SQL is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -86,5 +86,3 @@ QUERIES = {
         op10_decontamination,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
