@@ -14,13 +14,13 @@ from kerbside.learning.models import MODEL_NAMES, run_ml
 from kerbside.operators import trip_windows as T
 from kerbside.operators.decode import parse_trips
 from kerbside.operators.quality.report import monitoring, recommend, run_suite, summary
-from kerbside.session import build_session, scratch_path
+from kerbside.session import build_session
 from kerbside.sources.dimensions import load_datasets, load_dim
 from kerbside.sources.files import read_csv
 from kerbside.sources.messages import read_kafka, read_socket
-from kerbside.streaming.jobs import start_bookings, tweet_job
+from kerbside.streaming.jobs import SINKS, sink_spec, start_bookings, tweet_job
 from kerbside.streaming.runtime import StreamSpec, finish_all, start_all, stop_all
-from kerbside.streaming.sinks import messages_to_kafka, to_console, write_report
+from kerbside.streaming.sinks import messages_to_kafka, write_report
 
 # Report, output mode and trigger of the trip jobs.
 TRIP_JOBS = {
@@ -45,16 +45,13 @@ TRIP_JOBS = {
 DATASETS = ("taxis", "drivers", "passengers", "trips")
 
 
-def trip_specs(messages: DataFrame, job: str, checkpoint: str, trigger: str | None = None) -> list[StreamSpec]:
-    """The console queries of one trip job over a stream of JSON messages."""
+def trip_specs(
+    messages: DataFrame, job: str, checkpoint: str, trigger: str | None = None, sink: str = "console", **where: str | None
+) -> list[StreamSpec]:
+    """The queries of one trip job over a stream of JSON messages, into one of the ``SINKS``."""
     trips = parse_trips(messages, schemas.TAXI_TRIP)
     return [
-        StreamSpec(
-            name,
-            report(trips),
-            to_console,
-            {"mode": mode, "trigger": trigger or every, "checkpoint": f"{checkpoint}/{name}"},
-        )
+        sink_spec(name, report(trips), mode, trigger or every, checkpoint, sink, **where)
         for name, (report, mode, every) in TRIP_JOBS[job].items()
     ]
 
@@ -73,7 +70,6 @@ def quality(spark: SparkSession, paths: dict[str, str], output: str | None) -> D
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="kerbside")
-    parser.add_argument("--checkpoint", help="checkpoint folder; below the session's shared folder by default")
     jobs = parser.add_subparsers(dest="job", required=True)
     bookings = jobs.add_parser("bookings", help="the five booking queries over a socket stream")
     bookings.add_argument("--source-host", default="localhost")
@@ -87,6 +83,14 @@ def _parser() -> argparse.ArgumentParser:
     tweets.add_argument("--servers", default="localhost:9092")
     tweets.add_argument("--raw", default="tweet-ingestion")
     tweets.add_argument("--enriched", default="tweet-processed")
+    for stream in (bookings, trips, tweets):
+        # A job that forgets where it was loses or repeats messages, so there is no default.
+        stream.add_argument("--checkpoint", required=True, help="a folder that stays the same over restarts")
+    for stream in (bookings, trips):
+        stream.add_argument("--sink", choices=SINKS, default="files")
+        stream.add_argument("--output", help="folder for files, or the first part of the topics' names")
+        stream.add_argument("--sink-servers", help="brokers of the topics written to")
+    bookings.add_argument("--salts", type=int, default=1, help="join keys over which a hot passenger is spread")
     checks = jobs.add_parser("quality", help="the quality suite over files")
     for name in DATASETS:
         checks.add_argument(f"--{name}")
@@ -115,12 +119,14 @@ def main(arguments: list[str] | None = None) -> None:
         else:
             found.show(50, truncate=False)
         return
-    checkpoint = given.checkpoint or scratch_path(spark, given.job)
+    checkpoint = given.checkpoint
     if given.job == "bookings":
         messages = read_socket(spark, given.source_host, given.source_port)
-        running = start_bookings(messages, load_dim(spark, "passengers", given.passengers), checkpoint)
+        where = {"sink": given.sink, "output": given.output, "servers": given.sink_servers, "salts": given.salts}
+        running = start_bookings(messages, load_dim(spark, "passengers", given.passengers), checkpoint, **where)
     elif given.job == "trips":
-        running = start_all(trip_specs(read_kafka(spark, given.topic, given.servers), given.report, checkpoint))
+        where = {"sink": given.sink, "output": given.output, "servers": given.sink_servers}
+        running = start_all(trip_specs(read_kafka(spark, given.topic, given.servers), given.report, checkpoint, **where))
     else:
         raw = read_kafka(spark, given.raw, given.servers, starting="earliest")
         running = [tweet_job(raw, lambda df: messages_to_kafka(df, given.enriched, given.servers, f"{checkpoint}/tweets"))]

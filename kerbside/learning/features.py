@@ -8,7 +8,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.exact import exact_avg, exact_sum
 from kerbside.functions.scalars import as_column, count_where, ratio
 from kerbside.functions.trip_model import calendar_flags
 
@@ -77,12 +76,12 @@ def segment_input(df: DataFrame) -> DataFrame:
         df.groupBy("customer_age", "customer_gender", "membership")
         .agg(
             F.count(F.lit(1)).alias("total_trips"),
-            exact_avg("fare").alias("avg_fare"),
-            exact_sum("fare").alias("total_spent"),
-            exact_avg("distance").alias("avg_distance"),
-            exact_avg("surge_multiplier").alias("avg_surge"),
+            F.avg("fare").alias("avg_fare"),
+            F.sum("fare").alias("total_spent"),
+            F.avg("distance").alias("avg_distance"),
+            F.avg("surge_multiplier").alias("avg_surge"),
             count_where(F.col("is_cancelled")).alias("cancellations"),
-            exact_avg("rating").alias("avg_rating"),
+            F.avg("rating").alias("avg_rating"),
         )
         .withColumn("cancellation_rate", ratio("cancellations", "total_trips"))
     )
@@ -94,7 +93,7 @@ def demand_input(df: DataFrame) -> DataFrame:
         df.groupBy("hour", "day_of_week", "pickup_district")
         .agg(
             F.count(F.lit(1)).alias("demand"),
-            exact_avg("surge_multiplier").alias("avg_surge"),
+            F.avg("surge_multiplier").alias("avg_surge"),
             count_where(F.col("is_cancelled")).alias("cancellations"),
         )
         .withColumn("cancellation_rate", ratio("cancellations", "demand"))

@@ -6,13 +6,13 @@ up), and ``merged`` over those parts. Sliding windows use the parts to aggregate
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kerbside.functions.exact import exact_avg, exact_sum, from_units, units
 from kerbside.functions.scalars import as_column, count_where, flag
 
 
@@ -47,10 +47,9 @@ def count_if(name: str, condition: Column) -> Measure:
 
 
 def total(name: str, value: Column | str) -> Measure:
-    """Exact sum of a fractional column."""
-    return _measure(
-        name, exact_sum(value), lambda at: from_units(F.sum(at[f"{name}__units"])), units=F.sum(units(value))
-    )
+    """Sum of a fractional column, as Spark adds it up: NaN and infinity stay what they are."""
+    value = as_column(value).cast("double")
+    return _measure(name, F.sum(value), _added(name, "sum"), sum=F.sum(value))
 
 
 def total_int(name: str, value: Column | str) -> Measure:
@@ -59,12 +58,12 @@ def total_int(name: str, value: Column | str) -> Measure:
 
 
 def mean(name: str, value: Column | str) -> Measure:
-    value = as_column(value)
+    value = as_column(value).cast("double")
     return _measure(
         name,
-        exact_avg(value),
-        lambda at: F.try_divide(from_units(F.sum(at[f"{name}__units"])), F.sum(at[f"{name}__n"])),
-        units=F.sum(units(value)),
+        F.avg(value),
+        lambda at: F.try_divide(F.sum(at[f"{name}__sum"]), F.sum(at[f"{name}__n"])),
+        sum=F.sum(value),
         n=F.count(value),
     )
 
@@ -77,14 +76,21 @@ def largest(name: str, value: Column | str) -> Measure:
 def distinct(name: str, value: Column | str, exact: bool = False, rsd: float = 0.05) -> Measure:
     """Number of different values: a sketch, or exact (batch only).
 
-    Parts of the sketch form are HLL sketches, a few kB per group whatever the number of values.
+    One step and merged parts use the same sketch of the same size, so a batch and a stream say the
+    same number; a null is no value, and a group without values has 0 of them.
     """
     value = as_column(value)
     if exact:
         return Measure(name, F.count_distinct(value), distinct_of=value)
+    size = F.lit(sketch_size(rsd))
     return _measure(
         name,
-        F.approx_count_distinct(value, rsd),
-        lambda at: F.hll_sketch_estimate(F.hll_union_agg(at[f"{name}__hll"])),
-        hll=F.hll_sketch_agg(value),
+        F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(value, size)), F.lit(0)),
+        lambda at: F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(at[f"{name}__hll"])), F.lit(0)),
+        hll=F.hll_sketch_agg(value, size),
     )
+
+
+def sketch_size(rsd: float) -> int:
+    """Log of the number of registers (4 to 21) that keeps the standard error, 1.04 / sqrt(registers), below ``rsd``."""
+    return min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))

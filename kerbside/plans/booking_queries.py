@@ -11,7 +11,7 @@ from kerbside.operators import booking_windows as B
 from kerbside.operators import enrich as E
 from kerbside.operators import joins as J
 from kerbside.plans.catalog import query
-from kerbside.plans.oracle_views import micro_avg, micro_sum, windows
+from kerbside.plans.oracle_views import windows
 from kerbside.plans.tables import Tables
 
 
@@ -209,12 +209,13 @@ def _(t):
 @query(
     "bk_operational",
     f"""SELECT window_start, window_end, pickup_district, requested_taxi_type, count(*) AS booking_count,
-  {micro_avg('estimated_fare')} AS avg_fare, {micro_avg('estimated_distance')} AS avg_distance,
-  {micro_avg('priority_score')} AS avg_priority, {micro_sum('estimated_fare')} AS total_revenue,
-  {micro_avg('estimated_duration_minutes')} AS avg_duration,
+  avg(estimated_fare) AS avg_fare, avg(estimated_distance) AS avg_distance,
+  avg(priority_score) AS avg_priority, sum(estimated_fare) AS total_revenue,
+  avg(estimated_duration_minutes) AS avg_duration,
   count(DISTINCT passenger_id) AS unique_passengers
   FROM {windows('enriched', 'event_time', 300, 60)} GROUP BY ALL""",
     ("enriched",),
+    digits={"avg_fare": 9, "avg_distance": 9, "avg_priority": 9, "total_revenue": 6, "avg_duration": 9},
 )
 def _(t):
     return B.bk_operational(enriched(t), exact=True)
@@ -223,11 +224,12 @@ def _(t):
 @query(
     "bk_customer",
     f"""SELECT window_start, window_end, membership_status, time_category, count(*) AS bookings,
-  {micro_avg('estimated_fare')} AS avg_fare, {micro_sum('estimated_fare')} AS revenue,
-  count(DISTINCT passenger_id) AS unique_customers, {micro_avg('priority_score')} AS avg_priority,
-  {micro_avg('estimated_distance')} AS avg_distance
+  avg(estimated_fare) AS avg_fare, sum(estimated_fare) AS revenue,
+  count(DISTINCT passenger_id) AS unique_customers, avg(priority_score) AS avg_priority,
+  avg(estimated_distance) AS avg_distance
   FROM {windows('enriched', 'event_time', 600)} GROUP BY ALL""",
     ("enriched",),
+    digits={"avg_fare": 9, "revenue": 6, "avg_priority": 9, "avg_distance": 9},
 )
 def _(t):
     return B.bk_customer(enriched(t), exact=True)
@@ -236,10 +238,11 @@ def _(t):
 @query(
     "bk_surge",
     f"""SELECT window_start, window_end, pickup_district, route_type, count(*) AS surge_bookings,
-  {micro_avg('surge_multiplier')} AS avg_surge, max(surge_multiplier) AS max_surge,
-  {micro_sum('estimated_fare')} AS surge_revenue, {micro_avg('priority_score')} AS avg_priority_surge
+  avg(surge_multiplier) AS avg_surge, max(surge_multiplier) AS max_surge,
+  sum(estimated_fare) AS surge_revenue, avg(priority_score) AS avg_priority_surge
   FROM {windows('enriched', 'event_time', 300)} WHERE surge_multiplier > 1 GROUP BY ALL""",
     ("enriched",),
+    digits={"avg_surge": 9, "surge_revenue": 6, "avg_priority_surge": 9},
 )
 def _(t):
     return B.bk_surge(enriched(t))
@@ -248,10 +251,11 @@ def _(t):
 @query(
     "bk_routes",
     f"""SELECT window_start, window_end, pickup_district, dropoff_district, distance_category,
-  count(*) AS trip_count, {micro_avg('estimated_fare')} AS avg_route_fare,
-  {micro_avg('estimated_distance')} AS avg_route_distance, {micro_avg('estimated_duration_minutes')} AS avg_duration
+  count(*) AS trip_count, avg(estimated_fare) AS avg_route_fare,
+  avg(estimated_distance) AS avg_route_distance, avg(estimated_duration_minutes) AS avg_duration
   FROM {windows('enriched', 'event_time', 900)} GROUP BY ALL HAVING count(*) > 2""",
     ("enriched",),
+    digits={"avg_route_fare": 9, "avg_route_distance": 9, "avg_duration": 9},
 )
 def _(t):
     return B.bk_routes(enriched(t))

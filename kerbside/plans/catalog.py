@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
-from kerbside.plans.oracle_views import with_views
+from kerbside.plans.oracle_views import half_up, with_views
 from kerbside.plans.tables import Tables
 
 
@@ -22,13 +22,20 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable:
-    """Register a query; ``views`` are put in front of its SQL."""
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), digits: dict[str, int] | None = None) -> Callable:
+    """Register a query; ``views`` are put in front of its SQL.
+
+    ``digits`` names sums and means of doubles, whose last bits depend on the order of the rows: the
+    query and its SQL round them alike, well inside the precision of a double.
+    """
 
     def add(run: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = Query(run, with_views(sql, *views) if sql else None)
+        steady = ", ".join(f"{half_up(column, places)} AS {column}" for column, places in (digits or {}).items())
+        whole = f"SELECT * REPLACE ({steady}) FROM ({sql})" if sql and steady else sql
+        rounded = lambda t: run(t).withColumns({c: F.round(c, places) for c, places in (digits or {}).items()})
+        QUERIES[name] = Query(rounded if digits else run, with_views(whole, *views) if whole else None)
         return run
 
     return add

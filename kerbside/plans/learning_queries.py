@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from kerbside.learning import features as L
 from kerbside.learning import models as P
 from kerbside.plans.catalog import query
-from kerbside.plans.oracle_views import micro_avg, micro_sum
 from kerbside.plans.tables import Tables
 from kerbside.session import scratch_path
 
@@ -17,12 +16,13 @@ KEY = ["trip_id"]
 
 @query(
     "ml_segment_agg",
-    f"SELECT customer_age, customer_gender, membership, count(*) AS total_trips, {micro_avg('fare')} AS avg_fare, "
-    f"{micro_sum('fare')} AS total_spent, {micro_avg('distance')} AS avg_distance, "
-    f"{micro_avg('surge_multiplier')} AS avg_surge, count(*) FILTER (is_cancelled) AS cancellations, "
-    f"{micro_avg('rating')} AS avg_rating, count(*) FILTER (is_cancelled) / count(*) AS cancellation_rate "
+    f"SELECT customer_age, customer_gender, membership, count(*) AS total_trips, avg(fare) AS avg_fare, "
+    f"sum(fare) AS total_spent, avg(distance) AS avg_distance, "
+    f"avg(surge_multiplier) AS avg_surge, count(*) FILTER (is_cancelled) AS cancellations, "
+    f"avg(rating) AS avg_rating, count(*) FILTER (is_cancelled) / count(*) AS cancellation_rate "
     "FROM ml_samples GROUP BY customer_age, customer_gender, membership",
     SAMPLES,
+    digits={"avg_fare": 9, "total_spent": 4, "avg_distance": 9, "avg_surge": 9, "avg_rating": 9},
 )
 def _(t):
     return L.segment_input(t.ml_samples)
@@ -30,11 +30,12 @@ def _(t):
 
 @query(
     "ml_demand_agg",
-    f"SELECT hour, day_of_week, pickup_district, count(*) AS demand, {micro_avg('surge_multiplier')} AS avg_surge, "
+    f"SELECT hour, day_of_week, pickup_district, count(*) AS demand, avg(surge_multiplier) AS avg_surge, "
     "count(*) FILTER (is_cancelled) AS cancellations, count(*) FILTER (is_cancelled) / count(*) AS cancellation_rate, "
     "any_value(is_weekend) AS is_weekend, any_value(is_rush_hour) AS is_rush_hour, any_value(is_night) AS is_night "
     "FROM ml_samples GROUP BY hour, day_of_week, pickup_district",
     SAMPLES,
+    digits={"avg_surge": 9},
 )
 def _(t):
     return L.demand_input(t.ml_samples)

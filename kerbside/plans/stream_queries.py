@@ -22,7 +22,7 @@ from kerbside.operators.quality.rules import rule_driver_rating
 from kerbside.operators.windows import windowed
 from kerbside.plans.catalog import query
 from kerbside.plans.message_queries import tweet_messages
-from kerbside.plans.oracle_views import half_up, micro_avg, micro_sum, windows
+from kerbside.plans.oracle_views import half_up, steady, windows
 from kerbside.plans.quality_queries import _rule_sql
 from kerbside.plans.tables import Tables
 from kerbside.plans.window_queries import _late_sql, _pairs
@@ -37,8 +37,12 @@ from kerbside.streaming.state import district_state
 NOW = "available_now"
 
 
+#: The tables here are small and the streams finite.
+STATE_PARTITIONS = 8
+
+
 def stream_tables(t: Tables) -> Tables:
-    return Tables(stream_session(t.spark), t.folder, stream=True)
+    return Tables(stream_session(t.spark, STATE_PARTITIONS), t.folder, stream=True)
 
 
 def run(df: DataFrame, mode: str) -> DataFrame:
@@ -72,7 +76,7 @@ def closed(view: str, ts: str, delay_seconds: int) -> str:
 @query(
     "rt_mode_complete",
     f"SELECT window_start, window_end, pickup_district, count(trip_id) AS trip_count, "
-    f"{half_up(micro_sum('fare_amount'), 2)} AS total_revenue, count(*) FILTER (is_late_data) AS late_events_count, "
+    f"{half_up(steady('sum(fare_amount)'), 2)} AS total_revenue, count(*) FILTER (is_late_data) AS late_events_count, "
     f"max(late_by_minutes) AS max_lateness_minutes, 'NO_WATERMARK' AS watermark_type "
     f"FROM {windows('trips_events', 'event_timestamp', 120)} GROUP BY window_start, window_end, pickup_district",
     ("trips_events",),
@@ -94,7 +98,7 @@ def _(t):
 @query(
     "rt_mode_append",
     "SELECT window_start, window_end, count(trip_id) AS trip_count, "
-    f"{half_up(micro_sum('fare_amount'), 2)} AS total_revenue, {half_up(micro_avg('fare_amount'), 2)} AS avg_fare, "
+    f"{half_up(steady('sum(fare_amount)'), 2)} AS total_revenue, {half_up(steady('avg(fare_amount)'), 2)} AS avg_fare, "
     f"max(distance_km) AS max_distance FROM {windows('trips_events', 'event_timestamp', 120)} "
     f"WHERE {closed('trips_events', 'event_timestamp', 120)} GROUP BY window_start, window_end",
     ("trips_events",),
@@ -130,7 +134,7 @@ _WORDS = "SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text,
 
 @query("wc_stream", _WORDS.format("conversations"))
 def _(t):
-    session = stream_session(t.spark)
+    session = stream_session(t.spark, STATE_PARTITIONS)
     return update(S.wc_update(files.load_stream(session, t.folder, "conversations"), "text"), "word")
 
 
@@ -188,7 +192,7 @@ def _(t):
 
 def _tweet_stream(t: Tables, path: str) -> DataFrame:
     tweet_messages(t).write.parquet(f"{path}/messages")
-    return stream_session(t.spark).readStream.schema("value binary").parquet(f"{path}/messages")
+    return stream_session(t.spark, STATE_PARTITIONS).readStream.schema("value binary").parquet(f"{path}/messages")
 
 
 @query(
@@ -256,7 +260,7 @@ def _(t):
 def _through_stream(t: Tables, kind: str, reader: Callable[..., DataFrame], **options: object) -> str:
     """Files -> stream -> files of the same kind; the folder of the copy."""
     source, path = _written(t, kind), scratch_path(t.spark, f"{kind}-copy")
-    rows = reader(stream_session(t.spark), source, CLIENT_BOOKING, max_files=4, **options)
+    rows = reader(stream_session(t.spark, STATE_PARTITIONS), source, CLIENT_BOOKING, max_files=4, **options)
     settings = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     sinks.to_files(rows, kind, f"{path}/out", f"{path}/checkpoint", NOW, options=settings).awaitTermination()
     return f"{path}/out"
@@ -298,7 +302,7 @@ def _(t):
     path = scratch_path(t.spark, "restart")
     keep = t.trades.select("CreatedTime", "Type", "Amount")
     halves = [F.col("Type") == "BUY", F.col("Type") == "SELL"]
-    session = stream_session(t.spark)
+    session = stream_session(t.spark, STATE_PARTITIONS)
     for part in halves:
         keep.filter(part).write.mode("append").parquet(f"{path}/in")
         rows = session.readStream.schema(keep.schema).parquet(f"{path}/in")
@@ -309,8 +313,9 @@ def _(t):
 
 @query(
     "ud_state",
-    f"SELECT pickup_district, count(*) AS trips, {micro_sum('fare_amount')} AS revenue FROM trips_events GROUP BY ALL",
+    f"SELECT pickup_district, count(*) AS trips, sum(fare_amount) AS revenue FROM trips_events GROUP BY ALL",
     ("trips_events",),
+    digits={"revenue": 4},
 )
 def _(t):
     return update(district_state(stream_tables(t).trips_events), "pickup_district")
@@ -380,7 +385,7 @@ def _(t):
     """Late trips arrive after all others: those of windows behind the two-hour watermark are dropped."""
     path = scratch_path(t.spark, "late")
     trips = t.trips_events.select("trip_id", "event_timestamp", "pickup_district", "is_late_data")
-    session = stream_session(t.spark)
+    session = stream_session(t.spark, STATE_PARTITIONS)
     late = F.col("is_late_data").isNotNull()
     for part in (~late, late):
         trips.filter(part).write.mode("append").parquet(f"{path}/in")

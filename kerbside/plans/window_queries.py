@@ -11,7 +11,7 @@ from kerbside.operators import trip_windows as T
 from kerbside.operators import measures as M
 from kerbside.operators.windows import sliding, tumbling
 from kerbside.plans.catalog import query
-from kerbside.plans.oracle_views import half_up, micro_avg, micro_sum, windows
+from kerbside.plans.oracle_views import half_up, steady, windows
 
 TRIPS = ("trips_events",)
 
@@ -21,11 +21,11 @@ def _trips(length: int, slide: int | None = None) -> str:
 
 
 def _sum2(value: str) -> str:
-    return half_up(micro_sum(value), 2)
+    return half_up(steady(f"sum({value})"), 2)
 
 
 def _avg(value: str, digits: int = 2) -> str:
-    return half_up(micro_avg(value), digits)
+    return half_up(steady(f"avg({value})"), digits)
 
 
 _SPAN = "SELECT window_start, window_end,"
@@ -87,7 +87,7 @@ def _(t):
     "sw_performance",
     f"{_SPAN} taxi_type, count(trip_id) AS trip_count, {_avg('fare_amount')} AS avg_fare, "
     f"{_sum2('distance_km')} AS total_distance, "
-    f"{half_up(micro_avg('duration_seconds') + ' / 60', 1)} AS avg_duration_min, "
+    f"{half_up(steady('avg(duration_seconds) / 60'), 1)} AS avg_duration_min, "
     f"CAST(sum(passenger_count) AS BIGINT) AS total_passengers FROM {_trips(180, 30)} GROUP BY ALL",
     TRIPS,
 )
@@ -186,7 +186,8 @@ def _(t):
 
 @query(
     "tm_tumbling",
-    f"{_SPAN} event_type, count(*) AS n, {micro_sum('value')} AS total FROM {windows('events', 'ts', 3600)} GROUP BY ALL",
+    f"{_SPAN} event_type, count(*) AS n, sum(value) AS total FROM {windows('events', 'ts', 3600)} GROUP BY ALL",
+    digits={"total": 6},
 )
 def _(t):
     events = t.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -195,8 +196,9 @@ def _(t):
 
 @query(
     "tm_sliding",
-    f"{_SPAN} event_type, count(*) AS n, {micro_sum('value')} AS total, max(value) AS highest "
+    f"{_SPAN} event_type, count(*) AS n, sum(value) AS total, max(value) AS highest "
     f"FROM {windows('events', 'ts', 3600, 900)} GROUP BY ALL",
+    digits={"total": 6},
 )
 def _(t):
     events = t.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -339,8 +341,9 @@ def _(t):
 
 @query(
     "ag_basic",
-    f"SELECT l_returnflag, l_linestatus, {micro_sum('l_extendedprice')} AS total, {micro_avg('l_quantity')} AS average, "
+    f"SELECT l_returnflag, l_linestatus, sum(l_extendedprice) AS total, avg(l_quantity) AS average, "
     "max(l_extendedprice) AS highest, min(l_extendedprice) AS lowest FROM lineitem GROUP BY ALL",
+    digits={"total": 2, "average": 9},
 )
 def _(t):
     measures = [M.total("total", "l_extendedprice"), M.mean("average", "l_quantity")]

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every function here relies on (UTC, AQE, Arrow)."""
@@ -17,6 +19,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Large state lives in files beside the executor, not on its heap.
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)
@@ -26,7 +30,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps without a zone are read and shown as UTC."""
+    """Timestamps without a zone are read and shown as UTC. This sets an option of the given session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -48,19 +52,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the shared folder."""
+    """A new, unused path below the shared folder.
+
+    What is written there belongs to the caller, who may still read it lazily; nothing here removes it.
+    """
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A sibling session for finite streams, with a state-store count that fits the cluster.
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for streams.
 
     The number of state partitions is fixed for the life of a checkpoint and is not adapted at run
-    time, so it follows the cores of small sessions and the configured value on large ones.
+    time. It is ``state_partitions`` or the configured ``spark.sql.shuffle.partitions``, and does not
+    follow the cores that happen to be there at the start.
     """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sibling = use_utc(spark.newSession())
-    sibling.conf.set(
-        "spark.sql.shuffle.partitions", str(max(1, min(configured, spark.sparkContext.defaultParallelism)))
-    )
+    if state_partitions is not None:
+        sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return sibling

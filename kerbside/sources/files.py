@@ -41,26 +41,32 @@ def read_json(
 def read_jsonl(
     spark: SparkSession, path: str, schema: str, bad: str = "drop"
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """JSON lines. Lines that do not parse are dropped, or returned beside the good rows."""
-    if bad == "drop":
-        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    if bad != "quarantine":
+    """JSON lines. Lines that do not parse are dropped, or returned beside the good rows.
+
+    Whether a line is good is decided on the whole schema, whatever columns are asked for later.
+    """
+    if bad not in ("drop", "quarantine"):
         raise ValueError(f"bad must be 'drop' or 'quarantine', not {bad!r}")
-    # Read as text: a filter on the bad-record column alone would skip parsing the line.
+    # Read as text: Spark's JSON reader parses only the columns that a query needs, and would let a line
+    # pass whose fault lies in another one.
     marked = f"{schema}, {BAD_RECORD} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
     parsed = spark.read.text(path).select("value", F.from_json("value", marked, options).alias("row"))
     failed = F.col("row").isNull() | F.col(f"row.{BAD_RECORD}").isNotNull()
     good = parsed.filter(~failed).select("row.*").drop(BAD_RECORD)
+    if bad == "drop":
+        return good
     return good, parsed.filter(failed).select(F.col("value").alias(BAD_RECORD))
 
 
 def _stream_reader(spark: SparkSession, schema: StructType | str | None, max_files: int | None):
-    reader = spark.readStream
     if schema is None:
+        # Inference is a setting of the session; a sibling keeps it from the caller's.
+        spark = spark.newSession()
         spark.conf.set("spark.sql.streaming.schemaInference", "true")
+        reader = spark.readStream
     else:
-        reader = reader.schema(schema)
+        reader = spark.readStream.schema(schema)
     return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +44,37 @@ def writer(
     return out.queryName(name) if name else out
 
 
+class LateRows(StreamingQueryListener):
+    """Adds up, batch by batch, what each query dropped behind its watermark.
+
+    Register it before the queries start: ``spark.streams.addListener(late)``. Each task combines its
+    rows before they meet the watermark, so this counts combined rows, not rows. Progress arrives
+    shortly after a batch; a query's ``lastProgress`` tells its last batch, ``seen`` what has arrived.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+        self.seen: dict[str, int] = {}
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped[str(query.id)]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        name = str(progress.id)
+        self.dropped[name] += sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        self.seen[name] = progress.batchId
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 @dataclass(frozen=True)
 class StreamSpec:
     """One query of a job: a name, its frame, and a function that starts it."""
@@ -81,11 +113,19 @@ def stop_all(queries: Iterable[StreamingQuery], timeout: int = 60) -> None:
             log.warning("query %s ended with %s", query.name, error)
 
 
-STATUS = "name string, active boolean, batch long, input_rate double, processing_rate double, state_rows long, late_rows long"
+STATUS = (
+    "name string, active boolean, batch long, input_rate double, processing_rate double, state_rows long, "
+    "late_combined_rows long"
+)
 
 
-def query_status(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """One row per query: whether it runs, its rates, and its state and late rows."""
+def query_status(
+    spark: SparkSession, queries: Iterable[StreamingQuery], late: LateRows | None = None
+) -> DataFrame:
+    """One row per query: whether it runs, its rates, its state, and its late rows (see ``LateRows``).
+
+    Without a ``LateRows`` that has watched from the start, late rows are not known and null.
+    """
     rows = []
     for query in queries:
         last = query.lastProgress or {}
@@ -97,7 +137,7 @@ def query_status(spark: SparkSession, queries: Iterable[StreamingQuery]) -> Data
                 float(last.get("inputRowsPerSecond") or 0.0),
                 float(last.get("processedRowsPerSecond") or 0.0),
                 state_rows(query),
-                late_rows(query),
+                late.of(query) if late else None,
             )
         )
     return spark.createDataFrame(rows, STATUS)
@@ -107,15 +147,3 @@ def state_rows(query: StreamingQuery) -> int:
     """Keys held in state after the latest batch."""
     last = query.lastProgress
     return sum(operator["numRowsTotal"] for operator in last["stateOperators"]) if last else 0
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in the batches Spark still remembers (100 by default).
-
-    Each task combines its rows before they meet the watermark, so this counts combined rows.
-    """
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )

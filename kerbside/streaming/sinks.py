@@ -48,9 +48,10 @@ def messages_to_kafka(
     producer: Mapping[str, object] | None = None,
     trigger: Trigger = None,
     name: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Key and value columns to a topic, at least once. Needs Spark's Kafka connector on the class path."""
-    out = writer(messages, "append", trigger, checkpoint, name).format("kafka")
+    out = writer(messages, mode, trigger, checkpoint, name).format("kafka")
     return out.options(**kafka_sink_options(topic, servers, producer)).start()
 
 

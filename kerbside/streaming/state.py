@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-PARTIAL = "pickup_district string, trips long, revenue_units long"
+PARTIAL = "pickup_district string, trips long, revenue double"
 TOTAL = "pickup_district string, trips long, revenue double"
-HELD = "trips long, revenue_units long"
-UNIT = 1_000_000
+HELD = "trips long, revenue double"
 
 
 def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -20,16 +19,16 @@ def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         if len(rows):
             sums = rows.groupby("pickup_district", dropna=False, as_index=False)
-            yield sums.agg(trips=("trips", "sum"), revenue_units=("revenue_units", "sum"))
+            yield sums.agg(trips=("trips", "sum"), revenue=("revenue", "sum"))
 
 
 def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    trips, units = state.get if state.exists else (0, 0)
+    trips, revenue = state.get if state.exists else (0, 0.0)
     for rows in batches:
         trips += int(rows["trips"].sum())
-        units += int(rows["revenue_units"].sum())
-    state.update((trips, units))
-    yield pd.DataFrame({"pickup_district": [key[0]], "trips": [trips], "revenue": [units / UNIT]})
+        revenue += float(rows["revenue"].sum(skipna=False))
+    state.update((trips, revenue))
+    yield pd.DataFrame({"pickup_district": [key[0]], "trips": [trips], "revenue": [revenue]})
 
 
 def district_state(trips: DataFrame) -> DataFrame:
@@ -40,7 +39,7 @@ def district_state(trips: DataFrame) -> DataFrame:
     slim = trips.select(
         "pickup_district",
         F.lit(1).cast("long").alias("trips"),
-        F.coalesce(F.rint(F.col("fare_amount") * UNIT).cast("long"), F.lit(0)).alias("revenue_units"),
+        F.coalesce(F.col("fare_amount").cast("double"), F.lit(0.0)).alias("revenue"),
     )
     partial = slim.mapInPandas(_combine, PARTIAL)
     return partial.groupBy("pickup_district").applyInPandasWithState(

@@ -1,6 +1,7 @@
 """File, message and dimension sources."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -55,6 +56,10 @@ def test_json_arrays(spark, tmp_path):
 def test_json_lines_with_bad_ones(spark, tmp_path):
     write_ordered(f"{tmp_path}/in", ['{"a": 1}\n{oops\n{"a": 2}'])
     assert rows(files.read_jsonl(spark, f"{tmp_path}/in", "a int")) == [(1,), (2,)]
+    Path(f"{tmp_path}/two").write_text('{"a": 1, "b": 2}\n{"a": 3, "b": "x"}\n{"a"\n')
+    good = files.read_jsonl(spark, f"{tmp_path}/two", "a int, b int")
+    # The line whose other column is bad is bad for every choice of columns.
+    assert rows(good) == [(1, 2)] and good.count() == 1 and rows(good.select("a")) == [(1,)]
     good, bad = files.read_jsonl(spark, f"{tmp_path}/in", "a int", bad="quarantine")
     assert rows(good) == [(1,), (2,)] and rows(bad) == [("{oops",)]
     with pytest.raises(ValueError):

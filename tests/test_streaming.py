@@ -1,6 +1,7 @@
 """Batch = stream, late data, restarts, modes, sinks and control of queries."""
 
 import json
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -67,13 +68,46 @@ def trade_stream(spark, folder):
     return D.event_time(raw, "CreatedTime", D.SECONDS)
 
 
+def arrived(late, query):
+    """Wait until the listener has heard of the query's last batch."""
+    for _ in range(300):
+        if late.seen.get(str(query.id), -1) >= query.lastProgress["batchId"]:
+            return
+        time.sleep(0.1)
+
+
+def test_late_rows_of_many_batches(spark, tmp_path):
+    """More batches than Spark remembers, each with one late trade."""
+    day = "2024-01-01 {:02d}:{:02d}:00"
+    line = '{{"CreatedTime": "{}", "Type": "BUY", "Amount": 1, "BrokerCode": "A"}}'
+    lines = [line.format(day.format(12, 0))] + [line.format(day.format(1, at % 60)) for at in range(119)]
+    write_ordered(f"{tmp_path}/in", lines)
+    path = scratch_path(spark, "late-many")
+    late = R.LateRows()
+    spark.streams.addListener(late)
+    try:
+        report = S.st_watermark(trade_stream(spark, f"{tmp_path}/in"))
+        query = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "update", NOW)
+        query.awaitTermination()
+        arrived(late, query)
+        assert len(query.recentProgress) <= 100 and late.of(query) == 119
+    finally:
+        spark.streams.removeListener(late)
+
+
 def test_late_trade_is_dropped(spark, tmp_path):
     write_ordered(f"{tmp_path}/in", trade_lines())
     path = scratch_path(spark, "late")
     report = S.st_watermark(trade_stream(spark, f"{tmp_path}/in"))
-    query = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "update", NOW)
-    query.awaitTermination()
-    assert R.late_rows(query) == 1
+    late = R.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "update", NOW)
+        query.awaitTermination()
+        arrived(late, query)
+        assert late.of(query) == 1
+    finally:
+        spark.streams.removeListener(late)
     found = sinks.latest_per_key(sinks.read_batches(spark, f"{path}/out"), ["start", "end"]).orderBy("start")
     assert [(clock(r.start), r.TotalBuy, r.TotalSell) for r in found.collect()] == [
         ("10:00", 800, 0), ("10:15", 800, 400), ("10:30", 900, 0), ("10:45", 0, 600), ("11:00", 0, 200)
@@ -140,7 +174,7 @@ def test_status_and_control(spark):
             query.processAllAvailable()
         status = {r.name: r for r in R.query_status(spark, running).collect()}
         assert status["plain"].active and status["counts"].active
-        assert status["counts"].state_rows == 1 and status["plain"].late_rows == 0
+        assert status["counts"].state_rows == 1 and status["plain"].late_combined_rows is None
     finally:
         R.stop_all(running)
     assert not any(query.isActive for query in running)
