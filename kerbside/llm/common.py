@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Inside, what is executed hands rows to Python in batches of at most ``size`` bytes.
+
+    Rows with whole sets or texts are large; Spark's default of 64 MB is held several times over by
+    the JVM and by Python, in every task of an executor. The session's own setting is put back.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a ``stored`` frame that nothing will read again."""
     spark = df.sparkSession

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import discard, pick, small, stored
+from kerbside.llm.common import discard, pick, small, small_batches, stored
 from kerbside.llm.components import components
 from kerbside.llm.text_arrays import U64, chunks, mixed, shingle_sets
 
@@ -252,6 +252,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     length. An empty table gives no rows. Other columns are not looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     sketch = stored(docs.mapInArrow(_sketches, SKETCH), "sketches")
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
