@@ -25,8 +25,9 @@ DISGUISES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il",
 }
-#: Costs in nats: a letter in disguise, a repeated letter that is dropped, a mark between letters that is dropped.
-SWAPPED, REPEATED, APART = 1.0, 1.0, 0.5
+#: Costs in nats: a letter in disguise, a mark or digit that means itself, a repeated letter that is dropped,
+#: and a mark between letters that is dropped.
+SWAPPED, KEPT, REPEATED, APART = 1.0, 2.0, 2.0, 0.5
 #: Decoded stretches that a worker remembers.
 CACHED = 100_000
 #: Weight of the shorter context in the model.
@@ -99,7 +100,7 @@ class Restorer:
                 if char == before:
                     options.append(("", REPEATED))
             elif char in DISGUISES:
-                options = [(char, 0.0), *((letter, SWAPPED) for letter in DISGUISES[char])]
+                options = [(char, KEPT), *((letter, SWAPPED) for letter in DISGUISES[char])]
                 if char == before:
                     options.append(("", REPEATED))
             else:

@@ -27,8 +27,11 @@ TRAIN_ROWS = 20_000
 #: Most entries of the lexicon, the strongest first.
 LEXICON = 20_000
 THRESHOLD = 0.3
-#: A feature needs so many toxic documents, such a log odds ratio, and so many standard errors.
-FEWEST, ODDS, ERRORS = 3, 2.0, 3.5
+#: A feature needs so many toxic documents, such a log odds ratio, and to be so unlikely by chance (as a
+#: negative logarithm: rare words are many, and some meet toxic documents only by accident).
+FEWEST, ODDS, SURPRISE = 3, 2.0, 10.0
+#: A beginning of words that owes more than this share of its toxic documents to one word says nothing new.
+ONE_WORD = 0.8
 PREFIXES = (4, 5, 6)
 
 _EDGES = ".,;:!?\"'()[]{}<>%*#$&|+=/\\-_~^`@…«»“”„’"
@@ -84,21 +87,32 @@ class Model:
 
     grams: np.ndarray
     lexicon: dict[str, float]
-    fit: np.ndarray  # constant, weight of the evidence, weight of the length
+    fit: np.ndarray  # constant, weight of all the evidence, weight of the strongest
 
     def evidence(self, text: str) -> tuple[float, float]:
-        found, words = 0.0, words_of(text)
-        for word in words:
-            found += max((self.lexicon.get(feature, 0.0) for feature in features_of(word)), default=0.0)
-        return np.log1p(found), np.log1p(len(words))
+        """Of all different words: the logarithm of the summed weights, and the largest weight."""
+        found = most = 0.0
+        for word in words_of(text):
+            weight = max(self.lexicon.get(feature, 0.0) for feature in features_of(word))
+            found += weight
+            most = max(most, weight)
+        return np.log1p(found), most
 
 
 def _weight(toxic, clean, n_toxic, n_clean):
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
 
 
+def _surprise(toxic: int, clean: int, share: float) -> float:
+    """Chernoff's bound on the chance that so many of the documents are toxic, as a negative logarithm."""
+    n = toxic + clean
+    part = toxic / n
+    rest = (1 - part) * np.log((1 - part) / (1 - share)) if clean else 0.0
+    return n * (part * np.log(part / share) + rest) if part > share else 0.0
+
+
 def _evidence_rows(model: np.ndarray, counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int):
-    """(label, evidence, length) of labelled rows, each against counts without itself."""
+    """(label, evidence, strongest) of labelled rows, each against counts without itself."""
 
     def weights(label: int) -> dict[str, float]:
         less = (1, 0) if label else (0, 1)
@@ -117,9 +131,9 @@ def _evidence_rows(model: np.ndarray, counts: dict[str, tuple[int, int]], n_toxi
             texts = _restored(restorer, batch.column(1))
             rows = [(label, *by_label[label].evidence(text)) for label, text in zip(labels, texts)]
             if rows:
-                label, evidence, length = zip(*rows)
-                columns = [pa.array(label, pa.int32()), pa.array(evidence, pa.float64()), pa.array(length, pa.float64())]
-                yield pa.record_batch(columns, names=["label", "evidence", "length"])
+                label, evidence, strongest = zip(*rows)
+                columns = [pa.array(label, pa.int32()), pa.array(evidence, pa.float64()), pa.array(strongest, pa.float64())]
+                yield pa.record_batch(columns, names=["label", "evidence", "strongest"])
 
     return run
 
@@ -174,16 +188,22 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     for row in clean.groupBy("feature").agg(F.sum("clean").alias("clean")).collect():
         counts[row["feature"]][1] = row["clean"]
     share, chosen = n_toxic / (n_toxic + n_clean), {}
+    leading = Counter()
+    for word, (t, _) in counts.items():
+        for start in features_of(word)[1:] if not word.endswith("*") else ():
+            leading[start] = max(leading[start], t)
     for feature, (t, c) in counts.items():
-        weight, expected = float(_weight(t, c, n_toxic, n_clean)), (t + c) * share
-        if weight >= ODDS and t - expected >= ERRORS * np.sqrt(expected * (1 - share)):
+        if leading[feature] > ONE_WORD * t:
+            continue
+        weight = float(_weight(t, c, n_toxic, n_clean))
+        if weight >= ODDS and _surprise(t, c, share) >= SURPRISE:
             chosen[feature] = (weight, t, c)
     best = sorted(chosen, key=lambda feature: (-chosen[feature][0], feature))[:LEXICON]
     kept = spark.sparkContext.broadcast({feature: chosen[feature][1:] for feature in best})
     found = rows.mapInArrow(
-        lambda b: _evidence_rows(held.value, kept.value, n_toxic, n_clean)(b), "label int, evidence double, length double"
+        lambda b: _evidence_rows(held.value, kept.value, n_toxic, n_clean)(b), "label int, evidence double, strongest double"
     ).toPandas()
-    fit = _logistic(found[["evidence", "length"]].to_numpy(), found["label"].to_numpy(np.float64))
+    fit = _logistic(found[["evidence", "strongest"]].to_numpy(), found["label"].to_numpy(np.float64))
     return Model(grams, {feature: chosen[feature][0] for feature in best}, fit)
 
 

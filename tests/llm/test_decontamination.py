@@ -36,7 +36,7 @@ ITEM = (
 
 
 def test_reparameterised_questions(spark):
-    other = ITEM.replace("Boston", "Lisbon").replace("9:30", "7").replace("120 km", "300 miles").replace("2 hours", "5h").replace("Alice", "Bob").replace("45 km", "45km")
+    other = ITEM.replace("Boston", "Lisbon").replace("9:30", "7").replace("120 km", "300 miles").replace("2 hours", "5h").replace("Alice", "Bob").replace("45 km", "45miles")
     loose = ITEM.replace("train from Boston", "train from Lisbon")  # one slot with two values
     torn = " ".join(ITEM.split()[::-1])
     half = " ".join(ITEM.split()[:20])
