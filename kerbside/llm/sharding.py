@@ -6,6 +6,8 @@ new shard takes, about 1 / (shards + 1) of all.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -19,56 +21,74 @@ RANGE = float(1 << 31)
 _LOW = 0xFFFFFFFF
 
 
-def _added(a: Column, b: Column) -> Column:
-    """a + b modulo 2^64 (plain addition raises on overflow)."""
-    low = a.bitwiseAND(F.lit(_LOW)) + b.bitwiseAND(F.lit(_LOW))
-    high = F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32) + F.shiftrightunsigned(low, 32)
-    return F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(F.lit(_LOW)))
+def _half(value: Column) -> Column:
+    """The lower 32 bits."""
+    return value.bitwiseAND(F.lit(_LOW))
 
 
-def _next_key(key: Column) -> Column:
-    """key * MULTIPLIER + 1 modulo 2^64, from products below 2^63."""
-    low, high = key.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(key, 32)
-    first = MULTIPLIER & 0x7FFFFFFF
-    second = MULTIPLIER >> 31 & 0x7FFFFFFF
-    third = MULTIPLIER >> 62
-    out = _added(low * F.lit(first), F.shiftleft(low * F.lit(second), 31))
-    if third:
-        out = _added(out, F.shiftleft(low * F.lit(third), 62))
-    out = _added(out, F.shiftleft((high * F.lit(first)).bitwiseAND(F.lit(_LOW)), 32))
-    out = _added(out, F.shiftleft(high * F.lit(second).bitwiseAND(F.lit(1)), 63))
-    return _added(out, F.lit(1).cast("long"))
+def _times(half: Column, factor: int) -> Column:
+    """Something that equals half * factor modulo 2^32, below 2^49, for values of 32 bits."""
+    upper = (half * F.lit(factor >> 16)).bitwiseAND(F.lit(0xFFFF))
+    return half * F.lit(factor & 0xFFFF) + F.shiftleft(upper, 16)
 
 
-def jump_shard(key: Column, shards: int) -> Column:
-    """The shard (0 to ``shards`` - 1) of a long key; a null key counts as 0.
+def _next_key(high: Column, low: Column) -> tuple[Column, Column]:
+    """key * MULTIPLIER + 1 modulo 2^64 of a key in halves; every product and sum stays below 2^51.
+
+    Plain multiplication of longs would raise on overflow.
+    """
+    lower, upper = MULTIPLIER & _LOW, MULTIPLIER >> 32
+    top = low * F.lit(lower >> 16)  # counts 2^16
+    bottom = low * F.lit(lower & 0xFFFF) + F.shiftleft(top.bitwiseAND(F.lit(0xFFFF)), 16) + F.lit(1)
+    carry = F.shiftrightunsigned(bottom, 32) + F.shiftrightunsigned(top, 16)
+    return _half(carry + _times(low, upper) + _times(high, lower)), _half(bottom)
+
 
-    The published loop jumps to larger and larger candidates until one is past the last shard. A jump
-    moves by at least 1, so ``shards`` steps are always enough; expected are about ln(shards) + 1.
+def jump_shards(key: Column, counts: Sequence[int]) -> Column:
+    """A struct with the shard of a long key for each number of shards; a null key counts as 0.
+
+    The published loop jumps to larger and larger candidates; the last one below the number of shards
+    is the shard, so one run serves several numbers. A jump moves by at least 1, so as many steps as
+    shards are always enough; expected are about ln(shards) + 1.
     """
-    if shards < 1:
-        raise ValueError("shards must be at least 1")
+    if min(counts) < 1:
+        raise ValueError("there must be at least 1 shard")
     key = F.coalesce(key.cast("long"), F.lit(0).cast("long"))
-    start = F.struct(key.alias("key"), F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"))
+    names = [f"s{count}" for count in counts]
+    zero = F.lit(0).cast("long")
+    start = F.struct(
+        F.shiftrightunsigned(key, 32).alias("high"),
+        _half(key).alias("low"),
+        zero.alias("at"),
+        *(zero.alias(name) for name in names),
+    )
 
     def step(state: Column, _: Column) -> Column:
-        after = _next_key(state["key"])
-        width = (F.shiftrightunsigned(after, 33) + F.lit(1)).cast("double")
-        jump = F.floor((state["j"] + F.lit(1)).cast("double") * (F.lit(RANGE) / width))
-        moved = F.struct(after.alias("key"), state["j"].alias("b"), jump.cast("long").alias("j"))
-        return F.when(state["j"] >= F.lit(shards), state).otherwise(moved)
+        high, low = _next_key(state["high"], state["low"])
+        width = (F.shiftrightunsigned(high, 1) + F.lit(1)).cast("double")
+        jump = F.floor((state["at"] + F.lit(1)).cast("double") * (F.lit(RANGE) / width)).cast("long")
+        held = [
+            F.when(state["at"] < F.lit(count), state["at"]).otherwise(state[name]).alias(name)
+            for name, count in zip(names, counts)
+        ]
+        moved = F.struct(high.alias("high"), low.alias("low"), jump.alias("at"), *held)
+        return F.when(state["at"] >= F.lit(max(counts)), state).otherwise(moved)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(max(counts))), start, step)
 
-    end = F.aggregate(F.sequence(F.lit(0), F.lit(shards)), start, step)
-    return end["b"].cast("int")
+
+def jump_shard(key: Column, shards: int) -> Column:
+    """The shard (0 to ``shards`` - 1) of a long key."""
+    return jump_shards(key, [shards])[f"s{shards}"].cast("int")
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per row of ``docs``.
 
     ``size`` is the number of UTF-8 bytes of the text plus 1, a null text having none; ``text_crc32``
-    of a null text is that of the empty text. ``shard`` depends on the key (its hash, so that any
-    type will do) and the number of shards only, ``grown_shard`` is the shard with one more. ``slot`` numbers the rows of a shard from 0
-    without gaps: rows count up within (input split, shard), and each such part starts where the parts
+    of a null text is that of the empty text. ``shard`` depends on the key (its hash, so that any type
+    will do) and the number of shards only; ``grown_shard`` is the shard with one more. ``slot`` numbers
+    the rows of a shard from 0 without gaps: rows count up within (input split, shard), and each such part starts where the parts
     before it end. Only counts per part go through one window, never the rows of a shard.
 
     Repeated rows and repeated keys go to one shard and get slots of their own. A null key is a
@@ -80,13 +100,13 @@ def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text
         "doc_id",
         (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
-        jump_shard(F.xxhash64("doc_id"), shards).alias("shard"),
-        jump_shard(F.xxhash64("doc_id"), shards + 1).alias("grown_shard"),
+        jump_shards(F.xxhash64("doc_id"), [shards, shards + 1]).alias("jumps"),
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().alias("place"),
     )
     # Written once: the places must not change between the counts and the slots.
-    placed = stored(placed, "placed")
+    shard, grown = (F.col(f"jumps.s{count}").cast("int") for count in (shards, shards + 1))
+    placed = stored(placed.withColumns({"shard": shard, "grown_shard": grown}).drop("jumps"), "placed")
     parts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
