@@ -1,7 +1,7 @@
 """MinHash near-duplicates: universal hash minima, banding, verification, large-star and small-star.
 
 1. One pass over the texts writes, per document, the size and a 128-bit digest of its set of word
-   shingles, ``MINIMA`` minima of universal hash functions (16 bits of each) and ``BANDS`` band keys.
+   shingles, ``MINIMA`` minima of universal hash functions (8 bits of each) and ``BANDS`` band keys.
 2. Documents with equal sets form a class, so that a group of copies, however large, is one node.
 3. Classes with an equal band key share a bucket. Each member is paired with the smallest member of
    the bucket; pairs whose signatures agree enough are confirmed on the full sets.
@@ -12,7 +12,7 @@
 5. Components by alternating large-star and small-star.
 
 A pair with similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6, and its signatures
-agree in less than ``AGREE`` of the places with probability below 1e-5.
+agree in less than ``AGREE`` of the places with probability 2e-5.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ from kerbside.llm.text_arrays import U64, chunks, mixed, shingle_sets
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
-MINIMA = 256
-#: Least share of equal minima for a pair to be confirmed on full sets: 4.4 standard deviations below 0.75.
-AGREE = 0.63
+MINIMA = 640
+#: Least share of equal minima for a pair to be confirmed on full sets: 4 standard errors below 0.75.
+AGREE = 0.68
 BLOCK = 256
 _SEED = 20240608
 
@@ -93,8 +93,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if full:
                 _, one, two, starts = _digests([sets[at] for at in full])
                 minima = _minima([sets[at] for at in full], starts)
-                # The low half of a minimum is as good as random; the high half is near zero.
-                short = (minima & np.uint32(0xFFFF)).astype(np.uint16)
+                # The last byte of a minimum is as good as random (the first ones are near zero), and by
+                # chance alone two of them agree once in 256 times only.
+                short = (minima & np.uint32(0xFF)).astype(np.uint8)
                 keys = _band_keys(minima)
                 for place, at in enumerate(full):
                     h1[at], h2[at] = int(one[place]), int(two[place])
@@ -130,8 +131,8 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree in at least ``AGREE`` of the places, with their share."""
     for batch in batches:
         a, b, one, two = batch.columns
-        left = np.frombuffer(b"".join(one.to_pylist()), np.uint16).reshape(-1, MINIMA)
-        right = np.frombuffer(b"".join(two.to_pylist()), np.uint16).reshape(-1, MINIMA)
+        left = np.frombuffer(b"".join(one.to_pylist()), np.uint8).reshape(-1, MINIMA)
+        right = np.frombuffer(b"".join(two.to_pylist()), np.uint8).reshape(-1, MINIMA)
         share = (left == right).mean(axis=1)
         kept = pa.array(share >= AGREE)
         yield pa.record_batch([a.filter(kept), b.filter(kept), pa.array(share).filter(kept)], names=["a", "b", "share"])
@@ -156,7 +157,7 @@ def _across(members: list[tuple]) -> Iterator[tuple[int, int]]:
     nodes = np.array([m[4] for m in members])
     comps = np.array([m[5] for m in members])
     blocks = np.array([m[6] for m in members])
-    signatures = np.frombuffer(b"".join(m[7] for m in members), np.uint16).reshape(-1, MINIMA)
+    signatures = np.frombuffer(b"".join(m[7] for m in members), np.uint8).reshape(-1, MINIMA)
     for at in range(len(members) - 1):
         apart = comps[at + 1 :] != comps[at]
         if low != high:
