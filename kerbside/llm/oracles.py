@@ -6,13 +6,13 @@ _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP1 = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
     SELECT a.vec_id AS query_id, b.vec_id,
-           CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
     WHERE a.vec_id % 100 = 0),
 ranked AS (
@@ -30,18 +30,18 @@ WITH lines AS (
 normal AS (
     SELECT doc_id, source, place, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM lines),
 boilerplate AS (
-    SELECT line, min(struct_pack(d := doc_id, p := place)) AS first
+    SELECT line, min(struct_pack(d := doc_id, p := place)) AS earliest
     FROM normal WHERE len(string_split(line, ' ')) >= 3
     GROUP BY line HAVING count(DISTINCT source) >= 5),
 gone AS (
     SELECT n.doc_id, list(n.place) AS places
     FROM normal n JOIN boilerplate b ON n.line = b.line
-    WHERE NOT (n.doc_id = b.first.d AND n.place = b.first.p)
+    WHERE NOT (n.doc_id = b.earliest.d AND n.place = b.earliest.p)
     GROUP BY n.doc_id),
 cleaned AS (
     SELECT d.doc_id, d.text AS old, len(g.places) AS n,
            CASE WHEN g.places IS NULL THEN d.text ELSE array_to_string(list_filter(
-               string_split(d.text, chr(10)), (line, at) -> NOT list_contains(g.places, at - 1)), chr(10)) END AS text
+               string_split(d.text, chr(10)), lambda line, k: NOT list_contains(g.places, k - 1)), chr(10)) END AS text
     FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id)
 SELECT doc_id, CAST(CASE WHEN old IS NULL THEN 0 ELSE len(string_split(old, chr(10))) END AS INTEGER) AS n_lines,
        CAST(coalesce(n, 0) AS INTEGER) AS n_removed, CAST(length(text) AS INTEGER) AS n_chars, sha256(text) AS text_sha256
@@ -53,7 +53,7 @@ WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (
     SELECT doc_id, CASE WHEN len(w) >= 5
-        THEN list_distinct(list_transform(range(1, len(w) - 3), at -> array_to_string(w[at:at + 4], ' ')))
+        THEN list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(list_slice(w, k, k + 4), ' ')))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
     FROM words),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
