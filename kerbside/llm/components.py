@@ -13,10 +13,12 @@ def _smallest(pairs: DataFrame) -> DataFrame:
     return stored(pairs.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "star-roots")
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Two numbers that only an unchanged edge set keeps (a sum over edges, so no order matters)."""
-    mark = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mark)).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and a node that has one is nobody's centre."""
+    ends = edges.select(F.greatest("u", "v").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high"))
+    ends = ends.unionByName(edges.select(F.least("u", "v").alias("node"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+    counted = ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("high").alias("high"))
+    return counted.where("low > 1 or (low = 1 and high = 1)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,7 +39,7 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, component): every node that has an edge, with the smallest node it is connected to.
 
     Each round links all larger neighbours of a node to its smallest neighbour (large-star) and then
-    all smaller ones (small-star), until the edges form stars; the number of rounds grows with the
+    all smaller ones (small-star), until the edges are stars; the number of rounds grows with the
     logarithm of the longest path. Roots are found by a combined minimum, and edges meet them in a
     join of two stored tables, whose hot keys Spark can split: no neighbourhood is ever gathered.
     Each round's edges are written to the shared folder, and those before are deleted.
@@ -48,8 +50,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     given = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
     now = stored(given.distinct(), "edges")
     loops = now.where("u = v").select(F.col("u").alias("node"))
-    now, held, mark = now.where("u != v"), [], None
-    while True:
+    now, held = now.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), []
+    while not _are_stars(now):
         large, roots = _large_star(now)
         large = stored(large, "large-star")
         next_, more_roots = _small_star(large)
@@ -57,10 +59,6 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         for old in (*held, roots, large, more_roots):
             discard(old)
         held, now = [next_], next_
-        seen = _fingerprint(now)
-        if seen == mark:
-            break
-        mark = seen
     tails = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     heads = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     alone = loops.join(tails.select("node"), "node", "left_anti").join(heads.select("node"), "node", "left_anti")

@@ -152,17 +152,24 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(members: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Pairs of one block pair: different components, agreeing signatures."""
-    _, _, low, high = members[0][:4]
+    """Pairs of one block pair: different components, agreeing signatures.
+
+    A pair that shares several buckets is taken up in the first of its bands only.
+    """
+    key, _, low, high = members[0][:4]
     nodes = np.array([m[4] for m in members])
     comps = np.array([m[5] for m in members])
     blocks = np.array([m[6] for m in members])
     signatures = np.frombuffer(b"".join(m[7] for m in members), np.uint8).reshape(-1, MINIMA)
+    bands = np.array([m[8] for m in members], np.int64)
     for at in range(len(members) - 1):
         apart = comps[at + 1 :] != comps[at]
         if low != high:
             apart &= blocks[at + 1 :] != blocks[at]
         others = np.flatnonzero(apart) + at + 1
+        if len(others):
+            first = (bands[others] == bands[at]).argmax(axis=1)
+            others = others[bands[at][first] == key]
         if len(others):
             share = (signatures[others] == signatures[at]).mean(axis=1)
             for other in nodes[others[share >= AGREE]].tolist():
@@ -221,7 +228,7 @@ def _remaining(live: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFr
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = (
         marked.join(apart, "key")
-        .join(classes.select("node", "signature"), "node")
+        .join(classes.select("node", "signature", "bands"), "node")
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
@@ -233,6 +240,7 @@ def _remaining(live: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFr
             "component",
             "block",
             "signature",
+            "bands",
         )
     )
     dealt = members.repartition("key", "low", "high").sortWithinPartitions("key", "size", "low", "high", "node")
@@ -276,7 +284,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(
         sets.join(nodes, ["node", "h1", "h2"], "left_semi").dropDuplicates(["node", "h1", "h2"]), "shingle-sets"
     )
-    classes = classes.select("node", "signature", "h1", "h2")
+    classes = classes.select("node", "signature", "bands", "h1", "h2")
     links = stored(_confirm(_hub_pairs(live, classes), sets), "links")
     linked = stored(components(links, "a", "b"), "linked")
     more = stored(_confirm(_remaining(live, classes, linked), sets), "more-links")
