@@ -127,9 +127,9 @@ def message_id() -> Column:
     return F.concat(F.lit("msg_"), F.unix_timestamp().cast("string"), F.lit("_"), F.uuid())
 
 
-def words(df: DataFrame, text: str, name: str = "word") -> DataFrame:
-    """One row per piece between single spaces; empty pieces are kept."""
-    return df.select(F.explode(F.split(F.col(text), " ")).alias(name))
+def words(df: DataFrame, text: str, name: str = "word", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per piece between single spaces, after any columns to keep; empty pieces are kept."""
+    return df.select(*keep, F.explode(F.split(F.col(text), " ")).alias(name))
 
 
 # --- sampling --------------------------------------------------------------------------------

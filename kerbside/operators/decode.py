@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import struct
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.scalars import by_value
+from kerbside.functions.scalars import as_column, by_value
 
 BAD_RECORD = "_corrupt_record"
 
@@ -160,27 +157,29 @@ def split_confluent(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def parse_confluent_avro(
-    df: DataFrame, schemas: Mapping[int, str], column: str = "value", connector: bool | None = None
-) -> dict[int, DataFrame]:
-    """Decoded rows per schema id. Records of other ids are left out; see ``split_confluent``.
+    df: DataFrame, schemas: Mapping[int, str], column: str = "value"
+) -> tuple[dict[int, DataFrame], DataFrame]:
+    """Decoded rows per schema id, and the messages that no schema is known for.
 
-    Uses Spark's Avro connector where its jar is on the class path (``connector`` overrides the
-    check). Without it, flat records of primitive types are decoded from Arrow batches.
+    The second frame holds unframed messages (schema id null) and those of other ids, as
+    ``split_confluent`` leaves them. Needs Spark's Avro connector on the class path.
     """
-    if connector is None:
-        connector = _has_avro(df)
     parts = split_confluent(df, column)
+    unknown = parts.filter(~known_schema(list(schemas)))
+    if schemas and not _has_avro(df):
+        raise RuntimeError("decoding Avro needs the spark-avro package on the class path (spark.jars.packages)")
     decoded = {}
     for schema_id, schema in schemas.items():
-        if connector:
-            from pyspark.sql.avro.functions import from_avro
+        from pyspark.sql.avro.functions import from_avro
 
-            record = from_avro(F.col("payload"), schema)
-        else:
-            record = _flat_avro(schema)(F.col("payload"))
         rows = parts.filter(F.col("schema_id") == schema_id)
-        decoded[schema_id] = rows.select(record.alias("record__")).select("record__.*")
-    return decoded
+        decoded[schema_id] = rows.select(from_avro(F.col("payload"), schema).alias("record__")).select("record__.*")
+    return decoded, unknown
+
+
+def known_schema(schema_ids: Sequence[int], column: Column | str = "schema_id") -> Column:
+    """Whether a message's schema id is one of those given; a message without an id is not."""
+    return F.coalesce(as_column(column).isin(*schema_ids), F.lit(False))
 
 
 def _has_avro(df: DataFrame) -> bool:
@@ -189,50 +188,3 @@ def _has_avro(df: DataFrame) -> bool:
     except Exception:  # noqa: BLE001 - the class loader's error has no Python type of its own
         return False
     return True
-
-
-_AVRO_TYPES = {"string": "string", "double": "double", "float": "float", "long": "long", "int": "int", "boolean": "boolean"}
-
-
-def _flat_avro(schema: str):
-    """A batch decoder for one flat record schema."""
-    fields = [(field["name"], field["type"]) for field in json.loads(schema)["fields"]]
-    unknown = [kind for _, kind in fields if not isinstance(kind, str) or kind not in _AVRO_TYPES]
-    if unknown:
-        raise ValueError(f"nested or union types need the Avro connector: {unknown}")
-
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for payloads in batches:
-            rows = [_avro_record(payload, fields) for payload in payloads]
-            yield pd.DataFrame(rows, columns=[name for name, _ in fields], index=payloads.index)
-
-    ddl = ", ".join(f"{name} {_AVRO_TYPES[kind]}" for name, kind in fields)
-    return F.pandas_udf(decode, f"struct<{ddl}>")
-
-
-def _avro_record(payload: bytes, fields: list[tuple[str, str]]) -> list:
-    at, row = 0, []
-    for _, kind in fields:
-        if kind in ("double", "float"):
-            size = 8 if kind == "double" else 4
-            row.append(struct.unpack_from("<d" if kind == "double" else "<f", payload, at)[0])
-            at += size
-        elif kind == "boolean":
-            row.append(payload[at] == 1)
-            at += 1
-        else:
-            number, shift = 0, 0
-            while True:
-                byte = payload[at]
-                at += 1
-                number |= (byte & 0x7F) << shift
-                shift += 7
-                if byte < 0x80:
-                    break
-            number = (number >> 1) ^ -(number & 1)
-            if kind == "string":
-                row.append(payload[at : at + number].decode("utf-8"))
-                at += number
-            else:
-                row.append(number)
-    return row

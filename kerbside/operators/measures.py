@@ -76,8 +76,9 @@ def largest(name: str, value: Column | str) -> Measure:
 def distinct(name: str, value: Column | str, exact: bool = False, rsd: float = 0.05) -> Measure:
     """Number of different values: a sketch, or exact (batch only).
 
-    One step and merged parts use the same sketch of the same size, so a batch and a stream say the
-    same number; a null is no value, and a group without values has 0 of them.
+    One step and merged parts use the same sketch of the same size, so batch and stream err alike, by
+    ``rsd`` at most in two of three cases (estimates of merged sketches may differ a little from those
+    of one sketch). A null is no value, and a group without values has 0 of them.
     """
     value = as_column(value)
     if exact:

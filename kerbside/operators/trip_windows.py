@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from kerbside.functions.scalars import as_column, case, seconds_between
+from kerbside.functions.scalars import case, seconds_between
 from kerbside.operators import measures as M
+from kerbside.operators.aggregates import p95
 from kerbside.operators.windows import windowed
 
 TS = "event_timestamp"
@@ -162,17 +164,12 @@ def late_minutes(minutes: str = "late_by_minutes") -> Column:
     return F.when(_late(), F.col(minutes))
 
 
-def minute_list(histogram: Column | str) -> Column:
-    """The sorted list of minutes that a (minutes, events) histogram stands for."""
-    return F.flatten(F.transform(as_column(histogram), lambda at: F.array_repeat(at["minutes"], at["events"].cast("int"))))
-
-
-def _late_report(df: DataFrame, delay: str, label: str, late_count: bool, exact: bool, as_list: bool) -> DataFrame:
+def _late_report(df: DataFrame, delay: str, label: str, late_count: bool, exact: bool) -> DataFrame:
     """Trips per window and district with the delays of late rows.
 
     The delays are gathered as a histogram of minutes, in two steps: rows are combined per minute
     first, so no group ever holds more entries than there are different minutes, however hot the
-    district. ``as_list`` spells the histogram out as the sorted list, row by row.
+    district.
     """
     marked = df.withColumn("late__minutes", late_minutes())
     trips = M.count_of("trip_count", "trip_id")
@@ -196,14 +193,12 @@ def _late_report(df: DataFrame, delay: str, label: str, late_count: bool, exact:
     )
     merged = {m.name: m.merged({name: F.col(name) for name in m.parts}) for m in first}
     if exact:
-        merged["unique_trips"] = F.max("unique_trips__n")
+        merged["unique_trips"] = F.sum("unique_trips__n")
     again = F.window(F.window_time("window"), "2 minutes") if df.isStreaming else F.col("window")
     out = per_minute.groupBy(again.alias("window"), "pickup_district").agg(
         *[column.alias(name) for name, column in merged.items()],
         F.sort_array(F.collect_list(entry)).alias("late_data_minutes"),
     )
-    if as_list:
-        out = out.withColumn("late_data_minutes", minute_list("late_data_minutes"))
     names = ["trip_count", "total_revenue", "unique_trips"] + (["late_events_count"] if late_count else [])
     return _rounded(
         out.select(
@@ -219,23 +214,22 @@ def _late_report(df: DataFrame, delay: str, label: str, late_count: bool, exact:
 
 
 def _exact_trips(per_trip: DataFrame, first: list[M.Measure]) -> DataFrame:
-    """(window, district, minute, trip) rows -> (window, district, minute) rows with the trip count
-    of the whole window beside them."""
+    """(window, district, minute, trip) rows -> (window, district, minute) rows with the number of trips
+    whose smallest minute it is, so that the numbers of a window add up to its different trips."""
     place = ["window", "pickup_district"]
-    unique = per_trip.groupBy(*place).agg(F.count_distinct("unique_trips__value").alias("unique_trips__n"))
+    order = Window.partitionBy(*place, "unique_trips__value").orderBy("late__minutes")
+    new = (F.row_number().over(order) == 1) & F.col("unique_trips__value").isNotNull()
     names = [name for m in first for name in m.parts] + ["late__events"]
-    minutes = per_trip.groupBy(*place, "late__minutes").agg(*[F.sum(name).alias(name) for name in names])
-    # One small row per window and district on both sides; a null district must still match.
-    on = (minutes["window"] == unique["window"]) & minutes["pickup_district"].eqNullSafe(unique["pickup_district"])
-    return minutes.join(unique, on, "inner").select(*[minutes[c] for c in minutes.columns], "unique_trips__n")
+    marked = per_trip.withColumn("unique_trips__n", F.when(new, 1).otherwise(0))
+    return marked.groupBy(*place, "late__minutes").agg(*[F.sum(name).alias(name) for name in (*names, "unique_trips__n")])
 
 
-def wm_strict(df: DataFrame, exact: bool = False, as_list: bool = False) -> DataFrame:
-    return _late_report(df, "30 seconds", "STRICT_30s", False, exact, as_list)
+def wm_strict(df: DataFrame, exact: bool = False) -> DataFrame:
+    return _late_report(df, "30 seconds", "STRICT_30s", False, exact)
 
 
-def wm_lenient(df: DataFrame, exact: bool = False, as_list: bool = False) -> DataFrame:
-    return _late_report(df, "5 minutes", "LENIENT_5m", True, exact, as_list)
+def wm_lenient(df: DataFrame, exact: bool = False) -> DataFrame:
+    return _late_report(df, "5 minutes", "LENIENT_5m", True, exact)
 
 
 def wm_none(df: DataFrame) -> DataFrame:
@@ -294,12 +288,12 @@ def wm_lateness(df: DataFrame) -> DataFrame:
     return _rounded(report, avg_lateness_sec=1)
 
 
-def wm_collected(df: DataFrame, fraction: float = 0.95) -> DataFrame:
-    """Events, trips and a high fare percentile per two-minute window."""
+def wm_collected(df: DataFrame, exact: bool = False) -> DataFrame:
+    """Events, trips and the 95th percentile of the fares (a sketch) per two-minute window."""
     out = df.groupBy(F.window(TS, "2 minutes").alias("window")).agg(
         F.count(F.lit(1)).alias("total_events"),
-        F.approx_count_distinct("trip_id").alias("unique_trips"),
-        F.percentile_approx("fare_amount", fraction).alias("p95_fare"),
+        M.distinct("unique_trips", "trip_id", exact).direct.alias("unique_trips"),
+        p95("fare_amount").alias("p95_fare"),
     )
     return out.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *out.columns[1:]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import text as X
 from kerbside.operators.decode import BAD_RECORD, parse_json_marked, to_message
-from kerbside.operators.validate import normalise_tweet, split_valid, tweet_rules
+from kerbside.operators.validate import REASON, normalise_tweet, split_valid, tweet_rules, with_reject_reason
 from kerbside.schemas import TWEET
 
 
@@ -36,14 +36,15 @@ def enrich_tweets(df: DataFrame) -> DataFrame:
     )
 
 
-def tweet_stats(enriched: DataFrame, bad: DataFrame) -> DataFrame:
-    """One row: processed, errors and the number of tweets per sentiment."""
+def tweet_stats(messages: DataFrame) -> DataFrame:
+    """One row: processed, errors and the number of tweets per sentiment, from one pass over raw messages."""
     labels = ("positive", "neutral", "negative")
-    seen = enriched.select(F.col("sentiment_label").alias("label"), F.lit(0).alias("error"))
-    both = seen.unionByName(bad.select(F.lit(None).cast("string").alias("label"), F.lit(1).alias("error")))
-    return both.agg(
-        F.count_if(F.col("error") == 0).alias("processed"),
-        F.count_if(F.col("error") == 1).alias("errors"),
+    marked = with_reject_reason(parse_json_marked(messages, TWEET), tweet_rules())
+    good = F.col(REASON).isNull()
+    seen = marked.select(good.alias("good"), F.when(good, X.sentiment("text")).alias("label"))
+    return seen.agg(
+        F.count_if("good").alias("processed"),
+        F.count_if(~F.col("good")).alias("errors"),
         *[F.count_if(F.col("label") == label).alias(label) for label in labels],
     )
 

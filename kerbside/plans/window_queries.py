@@ -367,11 +367,17 @@ def _(t):
     )
 
 
-@query("ag_approx_distinct")
+@query(
+    "ag_approx_distinct",
+    "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS within FROM lineitem GROUP BY l_returnflag",
+)
 def _(t):
-    return t.table("lineitem").groupBy("l_returnflag").agg(
-        A.approx_distinct("l_partkey").alias("approx_parts"), F.count_distinct("l_partkey").alias("parts")
+    rsd = 0.05
+    counted = t.table("lineitem").groupBy("l_returnflag").agg(
+        A.approx_distinct("l_partkey", rsd).alias("about"), F.count_distinct("l_partkey").alias("parts")
     )
+    error = F.abs(F.col("about") - F.col("parts"))
+    return counted.select("l_returnflag", "parts", (error <= 4 * rsd * F.col("parts")).alias("within"))
 
 
 @query(
@@ -396,17 +402,36 @@ def _(t):
     TRIPS,
 )
 def _(t):
-    report = t.trips_events.groupBy(F.window(T.TS, "2 minutes").alias("window")).agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("trip_id").alias("unique_trips"),
-        A.p95("fare_amount").alias("p95_fare"),
-    )
-    return report
+    return T.wm_collected(t.trips_events, exact=True)
+
+
+_LINE_NUMBERS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split()
+)
 
 
-@query("ag_quantiles")
+@query(
+    "ag_quantiles",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", count({name}) AS n, true AS within FROM lineitem" for name in _LINE_NUMBERS
+    ),
+)
 def _(t):
-    return A.quartiles(t.table("lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    """The quartiles of all numeric columns, held against their ranks among the rows."""
+    rows, error = t.table("lineitem"), 0.01
+    found = A.quartiles(rows, A.numeric_columns(rows), error)
+    marks = found.select(F.map_from_entries(F.collect_list(F.struct("column", F.array("q1", "median", "q3"))))).scalar()
+    whole = rows.withColumn("marks__", marks)
+    facts = []
+    for name in A.numeric_columns(rows):
+        at = [F.col("marks__")[name][place] for place in range(3)]
+        n = F.count(name)
+        good = [
+            (F.count_if(F.col(name) < mark) / n <= share + error) & (F.count_if(F.col(name) <= mark) / n >= share - error)
+            for mark, share in zip(at, (0.25, 0.5, 0.75))
+        ]
+        facts.append(F.struct(F.lit(name).alias("column"), n.alias("n"), (good[0] & good[1] & good[2]).alias("within")))
+    return whole.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
 
 
 def _describe_sql(table: str, *columns: str) -> str:

@@ -47,7 +47,8 @@ def writer(
 class LateRows(StreamingQueryListener):
     """Adds up, batch by batch, what each query dropped behind its watermark.
 
-    Register it before the queries start: ``spark.streams.addListener(late)``. Each task combines its
+    Register it with the session of the queries before they start:
+    ``df.sparkSession.streams.addListener(late)``. Each task combines its
     rows before they meet the watermark, so this counts combined rows, not rows. Progress arrives
     shortly after a batch; a query's ``lastProgress`` tells its last batch, ``seen`` what has arrived.
     """

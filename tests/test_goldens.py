@@ -100,8 +100,9 @@ def test_tweets(spark):
 def test_tweet_stats_and_rejects(spark):
     messages = D.to_message(_tweets(spark), "tweet_id").select(F.col("value").cast("binary"))
     broken = spark.createDataFrame([("{bad",), ('{"user_handle": "@x"}',), (None,)], "value string")
-    good, bad = W.read_tweets(messages.unionByName(broken.select(F.col("value").cast("binary"))))
-    assert rows(W.tweet_stats(W.enrich_tweets(good), bad)) == [(8, 3, 4, 2, 2)]
+    messages = messages.unionByName(broken.select(F.col("value").cast("binary")))
+    bad = W.read_tweets(messages)[1]
+    assert rows(W.tweet_stats(messages)) == [(8, 3, 4, 2, 2)]
     assert sorted(r.reject_reason for r in bad.collect()) == ["missing text", "missing user_handle", "not JSON"]
 
 
@@ -151,10 +152,12 @@ def test_avro_messages(spark):
     df = spark.createDataFrame([(bytearray(m),) for m in messages] + [(bytearray(b"\x01abcdef"),)], "value binary")
     ids = sorted(str(r.schema_id) for r in D.split_confluent(df).collect())
     assert ids == ["300"] * 8 + ["None"]
-    found = D.parse_confluent_avro(df, {300: schemas.TELEMETRY_AVRO})[300].orderBy("event_id").collect()
-    assert [(r.event_id, r.device_id, r.value, r.timestamp) for r in found[:2]] == [
-        ("evt-0000", "device-000", 20.0, 1_700_000_000_000), ("evt-0001", "device-001", 21.5, 1_700_000_000_001)
-    ]
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        D.parse_confluent_avro(df, {300: schemas.TELEMETRY_AVRO})
+    decoded, unknown = D.parse_confluent_avro(df, {})
+    assert decoded == {} and unknown.count() == 9
+    known = D.split_confluent(df).select("schema_id", D.known_schema([300, 301]).alias("known"))
+    assert rows(known) == [(300, True)] * 8 + [(None, False)]
 
 
 def test_timestamps_that_are_not(spark):

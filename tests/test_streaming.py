@@ -74,6 +74,7 @@ def arrived(late, query):
         if late.seen.get(str(query.id), -1) >= query.lastProgress["batchId"]:
             return
         time.sleep(0.1)
+    raise AssertionError("no progress arrived")
 
 
 def test_late_rows_of_many_batches(spark, tmp_path):
@@ -84,15 +85,15 @@ def test_late_rows_of_many_batches(spark, tmp_path):
     write_ordered(f"{tmp_path}/in", lines)
     path = scratch_path(spark, "late-many")
     late = R.LateRows()
-    spark.streams.addListener(late)
+    report = S.st_watermark(trade_stream(spark, f"{tmp_path}/in"))
+    report.sparkSession.streams.addListener(late)
     try:
-        report = S.st_watermark(trade_stream(spark, f"{tmp_path}/in"))
         query = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "update", NOW)
         query.awaitTermination()
         arrived(late, query)
         assert len(query.recentProgress) <= 100 and late.of(query) == 119
     finally:
-        spark.streams.removeListener(late)
+        report.sparkSession.streams.removeListener(late)
 
 
 def test_late_trade_is_dropped(spark, tmp_path):
@@ -100,14 +101,14 @@ def test_late_trade_is_dropped(spark, tmp_path):
     path = scratch_path(spark, "late")
     report = S.st_watermark(trade_stream(spark, f"{tmp_path}/in"))
     late = R.LateRows()
-    spark.streams.addListener(late)
+    report.sparkSession.streams.addListener(late)
     try:
         query = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "update", NOW)
         query.awaitTermination()
         arrived(late, query)
         assert late.of(query) == 1
     finally:
-        spark.streams.removeListener(late)
+        report.sparkSession.streams.removeListener(late)
     found = sinks.latest_per_key(sinks.read_batches(spark, f"{path}/out"), ["start", "end"]).orderBy("start")
     assert [(clock(r.start), r.TotalBuy, r.TotalSell) for r in found.collect()] == [
         ("10:00", 800, 0), ("10:15", 800, 400), ("10:30", 900, 0), ("10:45", 0, 600), ("11:00", 0, 200)
