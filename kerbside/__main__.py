@@ -13,7 +13,7 @@ from kerbside import schemas
 from kerbside.learning.models import MODEL_NAMES, run_ml
 from kerbside.operators import trip_windows as T
 from kerbside.operators.decode import parse_trips
-from kerbside.operators.quality.report import monitoring, recommend, run_suite, summary
+from kerbside.operators.quality.report import monitoring, recommend, run_suite, summary, with_examples
 from kerbside.session import build_session
 from kerbside.sources.dimensions import load_datasets, load_dim
 from kerbside.sources.files import read_csv
@@ -58,9 +58,11 @@ def trip_specs(
 
 def quality(spark: SparkSession, paths: dict[str, str], output: str | None) -> DataFrame:
     """Run the suite; write the report, or return monitoring figures where no output is named."""
-    report = run_suite(load_datasets(spark, paths))
+    datasets = load_datasets(spark, paths)
+    report = run_suite(datasets)
     if output is None:
         return monitoring(report)
+    report = with_examples(report, datasets)
     write_report(report, output)
     # The written report is small; the summary reads it back and does not run the checks again.
     verdict = summary(spark.read.schema(report.schema).json(output))

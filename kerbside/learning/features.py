@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.scalars import as_column, count_where, ratio
 from kerbside.functions.trip_model import calendar_flags
 
+# The columns that the models read, in the order of their vectors.
 CATEGORIES = ("pickup_district", "dropoff_district", "taxi_type", "membership", "payment_method", "customer_gender")
 NUMBERS = (
     "distance",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.operators.aggregates import numeric_columns
@@ -171,21 +171,26 @@ def _smallest(values: DataFrame, n: int) -> DataFrame:
 
 # --- outliers --------------------------------------------------------------------------------
 
-def outliers(df: DataFrame, rel_err: float = 0.01, columns: Sequence[str] | None = None) -> DataFrame:
+def quartile_sketches(names: Sequence[str], rel_err: float) -> list[str]:
+    """One sketch per column, with rank error ``rel_err``: an array of q1, median and q3."""
+    accuracy = max(1, round(1 / rel_err))
+    return [f"percentile_approx(cast({quoted(name)} as double), array(0.25, 0.5, 0.75), {accuracy})" for name in names]
+
+
+def outliers(
+    df: DataFrame, rel_err: float = 0.01, columns: Sequence[str] | None = None, quartiles: Column | None = None
+) -> DataFrame:
     """Quartiles and values beyond 1.5 times their distance, per numeric column.
 
     Two passes whatever the number of columns: one sketch pass for the quartiles (rank error
     ``rel_err``), one pass that counts against them. The quartiles reach the second pass as a scalar
-    subquery, not through the driver or a join. A column of nulls gives no row.
+    subquery, not through the driver or a join; ``quartiles`` (a struct of arrays c0, c1, ...) saves
+    the first pass. A column of nulls gives no row.
     """
     names = list(columns) if columns else numeric_columns(df)
-    accuracy = max(1, round(1 / rel_err))
-    sketches = [
-        f"percentile_approx(cast({quoted(name)} as double), array(0.25, 0.5, 0.75), {accuracy})" for name in names
-    ]
-    quartiles = df.selectExpr(
-        "struct(" + ", ".join(f"{sketch} AS c{place}" for place, sketch in enumerate(sketches)) + ") AS quartiles"
-    ).scalar()
+    if quartiles is None:
+        listed = ", ".join(f"{sketch} AS c{place}" for place, sketch in enumerate(quartile_sketches(names, rel_err)))
+        quartiles = df.selectExpr(f"struct({listed}) AS quartiles").scalar()
     facts, rows = {}, []
     for place, name in enumerate(names):
         q1, median, q3 = (f"given.c{place}[{at}]" for at in range(3))
@@ -216,12 +221,31 @@ def outliers(df: DataFrame, rel_err: float = 0.01, columns: Sequence[str] | None
 NUMBER_FACTS = {"mean": "avg", "stddev": "stddev", "min": "min", "max": "max"}
 
 
-def profile(df: DataFrame, exact: bool = True, samples: int = 10, rsd: float = 0.05) -> DataFrame:
+def profile_facts(df: DataFrame, rsd: float = 0.05) -> dict[str, str]:
+    """Nulls, number facts and a distinct sketch of every column."""
+    facts, numeric = completeness_facts(df.columns), set(numeric_columns(df))
+    for name in df.columns:
+        facts[f"{name}::distinct"] = f"approx_count_distinct({quoted(name)}, {rsd!r}D)"
+        for key, function in NUMBER_FACTS.items() if name in numeric else ():
+            facts[f"{name}::{key}"] = f"cast({function}({quoted(name)}) as double)"
+    return facts
+
+
+def profile_values(name: str, numeric: bool) -> dict[str, str]:
+    """The numbers of a profile that come from ``profile_facts``."""
+    nulls = f"{TOTAL} - {fact(name, 'present')}"
+    values = {"null_count": nulls, "null_percentage": f"try_divide({nulls}, {TOTAL}) * 100"}
+    values["distinct_estimate"] = f"{fact(name, 'distinct')} + CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END"
+    return values | ({key: fact(name, key) for key in NUMBER_FACTS} if numeric else {})
+
+
+def profile(df: DataFrame, exact: bool = False, samples: int = 10, rsd: float = 0.05) -> DataFrame:
     """One row per column: type, nulls, different values, number facts and sample values.
 
-    ``exact`` counts different values exactly, which shuffles each different value once; without it
-    a sketch is folded into the first pass and no samples are taken, so nothing but one row per task
-    is shuffled. Samples are the smallest values of text columns.
+    Different values are estimated by a sketch that is folded into the one pass, so nothing but one
+    row per task is shuffled, and no samples are taken. ``exact`` counts them, which shuffles each
+    different value of every column once, long texts included, and takes the smallest values of text
+    columns as samples.
     """
     kinds = dict(df.dtypes)
     numeric = set(numeric_columns(df))

@@ -13,7 +13,8 @@ from kerbside.functions.scalars import case, ratio
 from kerbside.operators.aggregates import numeric_columns
 from kerbside.operators.quality import checks as K
 from kerbside.operators.quality import rules as R
-from kerbside.operators.quality.folding import Fold, fact, item, metrics, run_fold
+from kerbside.operators.quality.folding import Fold, fact, item, metrics, run_held
+from kerbside.session import scratch_path
 
 COUNTED = ("completeness", "uniqueness", "ranges", "business_rules", "consistency")
 
@@ -49,13 +50,15 @@ ROW_RULES = {"drivers": R.driver_rules, "taxis": R.taxi_rules, "trips": R.trip_r
 
 
 def _fold(name: str, df: DataFrame, rules: TableRules) -> Fold:
-    """Completeness, ranges, row rules and the row count of one table."""
+    """Profile, completeness, ranges, row rules and the row count of one table."""
     row_rules = ROW_RULES[name]() if name in ROW_RULES else {}
     limits = {column: pair for column, pair in rules.ranges.items() if column in df.columns}
-    facts = K.completeness_facts(df.columns) | K.range_facts(limits) | R.rule_facts(row_rules)
+    facts = K.profile_facts(df) | K.range_facts(limits) | R.rule_facts(row_rules)
+    numeric = set(numeric_columns(df))
     size = {"total_rows": K.TOTAL, "total_columns": str(len(df.columns))}
     rows = [item("profiling", "table", "'INFO'", size)]
     for column in df.columns:
+        rows.append(item("profiling", column, "'INFO'", K.profile_values(column, column in numeric)))
         of = K.completeness_values(column, rules.required)
         numbers = {key: of[key] for key in ("null_count", "completeness_rate")}
         rows.append(item("completeness", column, of["status"], numbers, of["critical"]))
@@ -89,33 +92,74 @@ def run_suite(
 ) -> DataFrame:
     """(dataset, check, item, status, critical, warning, metrics) rows of every check.
 
-    Passes per dataset: one for completeness, ranges and rules together, one for unique columns,
-    two for outliers; plus one join per check between datasets.
+    One pass per dataset, made at once, takes profile, completeness, ranges, rules and quartiles; its
+    one row of numbers is held. When the report is read, one more pass counts outliers, and one the
+    values of unique columns. Trips are counted per taxi and group size once, into the shared folder,
+    for the seats and the taxi references; passenger references read the trips' ids.
     """
     rules = RULES if rules is None else rules
     parts: list[tuple[str, DataFrame]] = []
     for name, df in datasets.items():
         of = rules.get(name, TableRules())
-        parts.append((name, run_fold(df, _fold(name, df, of), "status IS NOT NULL")))
+        fold, numbers = _fold(name, df, of), numeric_columns(df)
+        sketches = {f"quartiles::{at}": sql for at, sql in enumerate(K.quartile_sketches(numbers, rel_err))}
+        held = run_held(df, fold.facts | sketches)
+        parts.append((name, held.selectExpr(f"inline(array({', '.join(fold.rows)}))").filter("status IS NOT NULL")))
         unique = [column for column in of.unique if column in df.columns]
         if unique:
-            numbers = ("distinct_count", "total_count", "uniqueness_rate", "duplicates")
-            parts.append((name, _report_rows(K.uniqueness(df, unique), "uniqueness", "column", *numbers, critical="critical")))
-        if numeric_columns(df):
-            numbers = ("q1", "median", "q3", "iqr", "outliers", "outlier_percentage")
-            found = K.outliers(df, rel_err)
-            parts.append((name, _report_rows(found, "distribution", "column", *numbers, warning="warning")))
+            of_key = ("distinct_count", "total_count", "uniqueness_rate", "duplicates")
+            parts.append((name, _report_rows(K.uniqueness(df, unique), "uniqueness", "column", *of_key, critical="critical")))
+        if numbers:
+            of_column = ("q1", "median", "q3", "iqr", "outliers", "outlier_percentage")
+            known = held.first()
+            quartiles = F.struct(
+                *[
+                    F.lit(known[f"quartiles::{at}"]).cast("array<double>").alias(f"c{at}")
+                    if known[f"quartiles::{at}"] is not None
+                    else F.lit(None).cast("array<double>").alias(f"c{at}")
+                    for at in range(len(numbers))
+                ]
+            )
+            found = K.outliers(df, rel_err, numbers, quartiles)
+            parts.append((name, _report_rows(found, "distribution", "column", *of_column, warning="warning")))
+    by_taxi = dict(datasets)
     if {"trips", "taxis"} <= set(datasets):
-        crowded = R.rule_seats(datasets["trips"], datasets["taxis"])
+        groups = R.taxi_groups(datasets["trips"])
+        path = scratch_path(groups.sparkSession, "taxi-groups")
+        groups.write.parquet(path)
+        by_taxi["trips"] = groups.sparkSession.read.schema(groups.schema).parquet(path)
+        crowded = R.seats_of_groups(by_taxi["trips"], datasets["taxis"])
         parts.append(("trips", _report_rows(crowded, "business_rules", "rule", "violations")))
     for check, (table, _, master, _, _) in R.REFERENCES.items():
         if {table, master} <= set(datasets):
-            found = R.ref_check(datasets, check)
+            found = R.ref_check(by_taxi if check == "taxi_references" else datasets, check)
             parts.append((table, _report_rows(found, "consistency", "rule", "invalid_references")))
     labelled = [part.select(F.lit(name).alias("dataset"), "*") for name, part in parts]
     return reduce(DataFrame.unionByName, labelled)
 
 
+def with_examples(report: DataFrame, datasets: Mapping[str, DataFrame], values: int = 5, keys: int = 10) -> DataFrame:
+    """The report with ``examples``: the smallest values out of range and the smallest keys without a master.
+
+    Reads each dataset with ranges once more.
+    """
+    parts = []
+    for name, df in datasets.items():
+        limits = {c: pair for c, pair in RULES.get(name, TableRules()).ranges.items() if c in df.columns}
+        if limits:
+            found = K.range_examples(df, limits, values).selectExpr(
+                f"'{name}' AS dataset", "'ranges' AS check", "column AS item", "cast(examples as array<string>) AS examples"
+            )
+            parts.append(found)
+    for check, (table, key, master, _, _) in R.REFERENCES.items():
+        if {table, master} <= set(datasets):
+            sample = R.ref_sample(datasets, check, keys).agg(F.sort_array(F.collect_list(F.col(key).cast("string"))).alias("examples"))
+            parts.append(sample.selectExpr(f"'{table}' AS dataset", "'consistency' AS check", f"'{check}' AS item", "examples"))
+    if not parts:
+        return report.withColumn("examples", F.lit(None).cast("array<string>"))
+    return report.join(reduce(DataFrame.unionByName, parts), ["dataset", "check", "item"], "left")
+
+
 def summary(report: DataFrame) -> DataFrame:
     """One row: checks passed and failed, critical issues, warnings, pass rate and verdict."""
     counted = F.col("check").isin(*COUNTED)
@@ -133,6 +177,7 @@ def summary(report: DataFrame) -> DataFrame:
 
 def recommend(summary_row: DataFrame) -> DataFrame:
     """Up to four lines of advice in order of urgency."""
+    # Fixed output: the wording of the advice.
     lines = (
         ("critical_issues > 0", "concat('Address ', critical_issues, ' critical issues immediately')"),
         ("failed_checks > 0", "concat('Investigate and fix ', failed_checks, ' failed quality checks')"),
@@ -155,7 +200,7 @@ def monitoring(report: DataFrame) -> DataFrame:
         "total_checks": "total_checks",
     }
     totals = summary(report).selectExpr(f"explode({metrics(figures)}) AS (metric, value)")
-    sizes = report.filter("check = 'profiling'").selectExpr(
+    sizes = report.filter("check = 'profiling' AND item = 'table'").selectExpr(
         "explode(map(concat(dataset, '_row_count'), metrics['total_rows'], "
         "concat(dataset, '_column_count'), metrics['total_columns'])) AS (metric, value)"
     )

@@ -22,6 +22,7 @@ RATING_RANGE = (1, 5)
 FARE_PER_KM_RANGE = (1.0, 15.0)
 MINUTES_PER_KM_RANGE = (1.0, 10.0)
 
+# Fixed output: how the report words each rule.
 RULE_TEXT = {
     "driver_ratings": "Driver ratings must be between 1 and 5",
     "taxi_capacity": "Taxi capacity must match taxi type",
@@ -102,7 +103,16 @@ def rule_seats(trips: DataFrame, taxis: DataFrame) -> DataFrame:
     Trips are counted per taxi and group size before the join, so a busy taxi does not make a
     heavy task.
     """
-    groups = trips.groupBy("TaxiNumber", "NumberOfPassengers").agg(F.count(F.lit(1)).alias("trips"))
+    return seats_of_groups(taxi_groups(trips), taxis)
+
+
+def taxi_groups(trips: DataFrame) -> DataFrame:
+    """Trips per taxi and group size."""
+    return trips.groupBy("TaxiNumber", "NumberOfPassengers").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def seats_of_groups(groups: DataFrame, taxis: DataFrame) -> DataFrame:
+    """``rule_seats`` on ``taxi_groups``."""
     seated = lookup(groups, taxis.select("TaxiNumber", "TaxiPassengerCapacity"), "TaxiNumber")
     crowded = F.col("NumberOfPassengers") > F.col("TaxiPassengerCapacity")
     violations = F.coalesce(F.sum(F.when(crowded, F.col("trips"))), F.lit(0))

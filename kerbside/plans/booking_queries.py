@@ -109,6 +109,7 @@ def _(t):
 
 # --- trip formulas ---------------------------------------------------------------------------
 
+# Places of the districts, and the busy ones.
 _CENTRES = (
     "(VALUES ('Central', 1.2966::DOUBLE, 103.8520::DOUBLE), ('Orchard', 1.3048::DOUBLE, 103.8318::DOUBLE), "
     "('Marina Bay', 1.2815::DOUBLE, 103.8639::DOUBLE), ('Chinatown', 1.2833::DOUBLE, 103.8449::DOUBLE), "
@@ -139,7 +140,7 @@ def _band_sql(rush: str, night: str, friday: str, calm: str, lift: str) -> str:
         "round(CASE WHEN list_contains([7,8,9,17,18,19], hour) THEN " + rush
         + " WHEN hour NOT BETWEEN 7 AND 21 THEN " + night
         + (f" WHEN day_of_week IN (4, 5) THEN {friday}" if friday else "")
-        + f" ELSE {calm} END * CASE WHEN pickup_district IN ('Changi Airport', 'Orchard', 'Marina Bay') "
+        + f" ELSE {calm} END * CASE WHEN pickup_district IN ('Orchard', 'Marina Bay', 'Changi Airport') "
         f"THEN {lift} ELSE 1.0::DOUBLE END, 6)"
     )
 

@@ -41,43 +41,97 @@ def _(t):
     return L.demand_input(t.ml_samples)
 
 
-@query("ml_features")
+@query(
+    "ml_features",
+    "SELECT trip_id, distance / stddev_samp(distance) OVER () AS distance_scaled FROM ml_samples",
+    SAMPLES,
+    digits={"distance_scaled": 9},
+)
 def _(t):
     model = L.features().fit(t.ml_samples)
     scaled = model.transform(t.ml_samples)
     return scaled.select("trip_id", L.prob_of("features", 0).alias("distance_scaled"))
 
 
-@query("ml_fare")
+# --- models ----------------------------------------------------------------------------------
+# What a model learns can't be said in SQL. These queries return keys, names and the truth of what any
+# model of its kind must fulfil: a forest never predicts beyond the labels it has seen.
+
+_ERRORS = ("rmse", "mae", "r2")
+
+
+def _named_rows(rows) -> str:
+    return " UNION ALL ".join(f"SELECT '{model}' AS model, '{metric}' AS metric, true AS sane" for model, metric in rows)
+
+
+def _sane(found):
+    """Numbers that are numbers; errors are not negative, areas and chances lie between 0 and 1, R2 is 1 at most."""
+    value, metric = F.col("value"), F.col("metric")
+    share = metric.isin("auc") | metric.startswith("avg_probability")
+    bounded = F.when(share, value.between(0, 1)).when(metric == "r2", value <= 1).otherwise(value >= 0)
+    return found.select("model", "metric", (~F.isnan(value) & bounded).alias("sane"))
+
+
+def _within(prediction: str, label: str, rows):
+    """Whether predictions lie between the smallest and the largest label."""
+    limits = rows.agg(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
+    return F.col(prediction).between(limits["lo"] - 1e-6, limits["hi"] + 1e-6)
+
+
+@query(
+    "ml_fare",
+    _named_rows((m, e) for m in ("linear_regression", "random_forest", "gradient_boosting") for e in _ERRORS),
+)
 def _(t):
-    return P.train_fare(t.ml_samples, KEY)[1]
+    return _sane(P.train_fare(t.ml_samples, KEY)[1])
 
 
-@query("ml_cancel")
+@query("ml_cancel", "SELECT 'auc' AS metric, CAST(2 AS BIGINT) AS models, true AS sane UNION ALL SELECT 'kept', 1, true")
 def _(t):
-    return P.train_cancel(t.ml_samples, KEY)[1]
+    found = P.train_cancel(t.ml_samples, KEY)[1]
+    return _sane(found).groupBy("metric").agg(F.count_distinct("model").alias("models"), F.min("sane").alias("sane"))
 
 
-@query("ml_segment")
+_GROUPS = "SELECT customer_age, customer_gender, membership, count(*) AS total_trips FROM ml_samples GROUP BY ALL"
+
+
+@query("ml_segment", f"SELECT *, true AS known_segment FROM ({_GROUPS})", SAMPLES)
 def _(t):
     groups = P.train_segments(t.ml_samples)[1]
-    return groups.select("customer_age", "customer_gender", "membership", "total_trips", P.SEGMENT)
+    known = F.col(P.SEGMENT).between(0, P.SEGMENTS - 1).alias("known_segment")
+    return groups.select("customer_age", "customer_gender", "membership", "total_trips", known)
 
 
-@query("ml_segment_summary")
+@query(
+    "ml_segment_summary",
+    f"SELECT CAST({P.SEGMENTS} AS BIGINT) AS segments, count(*) AS groups, "
+    f"CAST(sum(total_trips) AS BIGINT) AS trips FROM ({_GROUPS})",
+    SAMPLES,
+)
 def _(t):
-    return P.segment_summary(P.train_segments(t.ml_samples)[1])
+    found = P.segment_summary(P.train_segments(t.ml_samples)[1])
+    return found.agg(
+        F.count(F.lit(1)).alias("segments"),
+        F.sum("count").alias("groups"),
+        F.round(F.sum(F.col("avg_trips") * F.col("count"))).cast("long").alias("trips"),
+    )
 
 
-@query("ml_demand")
+@query("ml_demand", _named_rows(("demand_forest", e) for e in _ERRORS))
 def _(t):
-    return P.train_demand(t.ml_samples)[1]
+    return _sane(P.train_demand(t.ml_samples)[1])
+
 
+_SETTINGS = {"numTrees": (5, 10), "maxDepth": (3, 5)}
 
-@query("ml_tune")
+
+@query(
+    "ml_tune",
+    _named_rows((f"numTrees={n}, maxDepth={d}", "rmse") for n in _SETTINGS["numTrees"] for d in _SETTINGS["maxDepth"]),
+)
 def _(t):
-    grid = {"numTrees": (5, 10), "maxDepth": (3, 5)}
-    return P.tune_fare(t.ml_samples, grid, folds=2, key=KEY)[1]
+    """A search over a small grid. The grid of the library (27 settings, 3 folds) takes too long for a query."""
+    return _sane(P.tune_fare(t.ml_samples, _SETTINGS, folds=2, key=KEY)[1])
 
 
 def _models(t: Tables):
@@ -87,36 +141,58 @@ def _models(t: Tables):
     }
 
 
-@query("ml_predict")
+@query("ml_predict", "SELECT trip_id, fare, true AS within FROM ml_samples", SAMPLES)
 def _(t):
     model = P.train_fare(t.ml_samples, KEY)[0]
-    return P.predict(model, t.ml_samples, P.FARE).select("trip_id", "fare", P.FARE)
+    found = P.predict(model, t.ml_samples, P.FARE)
+    return found.select("trip_id", "fare", _within(P.FARE, "fare", t.ml_samples).alias("within"))
 
 
-@query("ml_batch")
+@query("ml_batch", "SELECT trip_id, fare, true AS within, true AS chance FROM ml_samples", SAMPLES)
 def _(t):
-    return P.score(t.ml_samples, _models(t)).select("trip_id", "fare", P.FARE, P.CANCEL)
+    found = P.score(t.ml_samples, _models(t))
+    within = _within(P.FARE, "fare", t.ml_samples).alias("within")
+    return found.select("trip_id", "fare", within, F.col(P.CANCEL).between(0, 1).alias("chance"))
+
 
+_FACTS = [f"{column}_{fact}" for column in ("fare", P.FARE) for fact in ("count", "mean", "stddev", "min", "max")]
+_CHANCES = ["auc", *(f"{fact}_{side}" for fact in ("avg_probability", "count") for side in ("cancelled", "completed"))]
 
-@query("ml_report")
+
+@query(
+    "ml_report",
+    _named_rows([("fare_prediction", m) for m in (*_ERRORS, *_FACTS)] + [("cancellation_prediction", m) for m in _CHANCES]),
+)
 def _(t):
-    return P.performance(t.ml_samples, _models(t))
+    return _sane(P.performance(t.ml_samples, _models(t)))
 
 
-@query("ml_load")
+@query(
+    "ml_load",
+    "SELECT hour, day_of_week, pickup_district, count(*) AS demand, true AS within FROM ml_samples GROUP BY ALL",
+    SAMPLES,
+)
 def _(t):
     folder = scratch_path(t.spark, "models")
     P.run_ml("train", t.ml_samples, folder, ["demand_forecasting"])
     models = P.load_models(t.spark, folder)
     demand = L.demand_input(t.ml_samples)
-    return P.predict(models["demand_forecasting"], demand, P.DEMAND).select(
-        "hour", "day_of_week", "pickup_district", "demand", F.round(P.DEMAND, 6).alias(P.DEMAND)
-    )
+    found = P.predict(models["demand_forecasting"], demand, P.DEMAND)
+    return found.select("hour", "day_of_week", "pickup_district", "demand", _within(P.DEMAND, "demand", demand).alias("within"))
 
 
-@query("ml_actions")
+_TRAINED = {"auc": 3, "kept": 1} | {m: 1 for m in _CHANCES if m != "auc"} | {f"segment_{n}_count": 1 for n in range(P.SEGMENTS)}
+
+
+@query(
+    "ml_actions",
+    " UNION ALL ".join(
+        f"SELECT '{metric}' AS metric, CAST({n} AS BIGINT) AS n, true AS sane" for metric, n in _TRAINED.items()
+    ),
+)
 def _(t):
     folder = scratch_path(t.spark, "models")
     names = ["cancellation_prediction", "customer_segmentation"]
     trained = P.run_ml("train", t.ml_samples, folder, names)
-    return trained.unionByName(P.run_ml("evaluate", t.ml_samples, folder, names))
+    both = _sane(trained.unionByName(P.run_ml("evaluate", t.ml_samples, folder, names)))
+    return both.groupBy("metric").agg(F.count(F.lit(1)).alias("n"), F.min("sane").alias("sane"))

@@ -255,10 +255,13 @@ def _profile_sql(table: str, columns) -> str:
 
 _PROFILED = {
     "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
     "l_linenumber": "int",
     "l_quantity": "double",
     "l_extendedprice": "double",
     "l_discount": "double",
+    "l_tax": "double",
     "l_returnflag": "string",
     "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
@@ -267,7 +270,7 @@ _PROFILED = {
 
 @query("dq_profile", _profile_sql("lineitem", _PROFILED))
 def _(t):
-    found = K.profile(t.table("lineitem").select(*_PROFILED), samples=0)
+    found = K.profile(t.table("lineitem").select(*_PROFILED), exact=True, samples=0)
     return found.withColumns({name: F.round(name, 4) for name in ("mean", "stddev")})
 
 
@@ -276,12 +279,12 @@ def _(t):
     " UNION ALL ".join(
         f"SELECT '{name}' AS \"column\", (SELECT array_to_string(list(v ORDER BY v), ',') FROM (SELECT DISTINCT {name} "
         f"AS v FROM documents ORDER BY v LIMIT 10)) AS sample_values"
-        for name in ("lang", "source")
+        for name in ("text", "lang", "source")
     ),
 )
 def _(t):
-    found = K.profile(t.table("documents").select("lang", "source"))
-    return found.select("column", "sample_values")
+    found = K.profile(t.table("documents"), exact=True)
+    return found.where("sample_values IS NOT NULL").select("column", "sample_values")
 
 
 # --- the suite -------------------------------------------------------------------------------
@@ -333,6 +336,9 @@ def _suite_sql() -> str:
             f"SELECT '{name}' AS dataset, 'profiling' AS \"check\", 'table' AS item, 'INFO' AS status, false AS critical, "
             "false AS warning"
         )
+        parts.extend(
+            f"SELECT '{name}', 'profiling', '{column}', 'INFO', false, false" for column in columns
+        )
         add(name, "completeness", '"column"', _complete_sql(view, columns, rules.required), "critical")
         if rules.unique:
             add(name, "uniqueness", '"column"', _unique_sql(view, *rules.unique), "critical")

@@ -7,6 +7,7 @@ and reads the result back, so nothing passes through the driver.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString, StringIndexer
@@ -30,7 +31,7 @@ from kerbside.session import scratch_path, stream_session
 from kerbside.sources import files
 from kerbside.sources.dimensions import load_datasets
 from kerbside.streaming import sinks
-from kerbside.streaming.jobs import tweet_job
+from kerbside.streaming.jobs import booking_reports, tweet_job
 from kerbside.streaming.runtime import StreamSpec, finish_all, query_status, start_all, state_rows, stop_all
 from kerbside.streaming.state import district_state
 
@@ -138,36 +139,58 @@ def _(t):
     return update(S.wc_update(files.load_stream(session, t.folder, "conversations"), "text"), "word")
 
 
+def _grouped(report: str, length: int, slide: int | None, keys: str, where: str = "true", having: str = "true") -> str:
+    return (
+        f"SELECT '{report}' AS report, count(*) AS groups, CAST(sum(n) AS BIGINT) AS bookings FROM (SELECT count(*) AS n FROM "
+        f"{windows('enriched', 'event_time', length, slide)} WHERE {where} GROUP BY window_start, {keys} HAVING {having})"
+    )
+
+
 @query(
     "rt_multi",
-    "SELECT 'surge' AS report, count(*) AS groups, CAST(sum(n) AS BIGINT) AS bookings FROM (SELECT count(*) AS n FROM "
-    f"{windows('enriched', 'event_time', 300)} WHERE surge_multiplier > 1 GROUP BY window_start, pickup_district, route_type) "
-    "UNION ALL SELECT 'customers', count(*), CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM "
-    f"{windows('enriched', 'event_time', 600)} GROUP BY window_start, membership_status, time_category)",
+    " UNION ALL ".join(
+        (
+            "SELECT 'enriched_bookings' AS report, count(*) AS groups, count(*) AS bookings FROM enriched",
+            _grouped("operational_metrics", 300, 60, "pickup_district, requested_taxi_type"),
+            _grouped("customer_metrics", 600, None, "membership_status, time_category"),
+            _grouped("surge_metrics", 300, None, "pickup_district, route_type", "surge_multiplier > 1"),
+            _grouped("route_analytics", 900, None, "pickup_district, dropoff_district, distance_category", having="count(*) > 2"),
+        )
+    ),
     ("enriched",),
 )
 def _(t):
+    """All five booking queries at once, each into files below its own name."""
     streaming = stream_tables(t)
     enriched = E.enrich_bookings(streaming.bookings, streaming.passengers)
     path = scratch_path(t.spark, "multi")
-    reports = {"surge": (B.bk_surge(enriched), "surge_bookings"), "customers": (B.bk_customer(enriched), "bookings")}
+    frames = booking_reports(enriched)
+    counts = {"operational_metrics": "booking_count", "customer_metrics": "bookings", "surge_metrics": "surge_bookings",
+              "route_analytics": "trip_count"}
+    slim = {name: frames[name].select(F.col(count).cast("long").alias("n")) for name, count in counts.items()}
+    slim["enriched_bookings"] = E.booking_summary(enriched).select(F.lit(1).cast("long").alias("n"))
     specs = [
         StreamSpec(
             name,
-            df.select(F.col(count).alias("n")),
+            df,
             sinks.to_snapshots,
-            {"path": f"{path}/{name}", "checkpoint": f"{path}/checkpoint-{name}", "mode": "complete", "trigger": NOW},
+            {
+                "path": f"{path}/{name}",
+                "checkpoint": f"{path}/checkpoint-{name}",
+                "mode": "append" if name == "enriched_bookings" else "complete",
+                "trigger": NOW,
+            },
         )
-        for name, (df, count) in reports.items()
+        for name, df in slim.items()
     ]
     finish_all(start_all(specs))
-    parts = [
-        sinks.latest_snapshot(sinks.read_batches(t.spark, f"{path}/{name}", "n long, batch_id long"))
-        .agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("bookings"))
-        .select(F.lit(name).alias("report"), "*")
-        for name in reports
-    ]
-    return parts[0].unionByName(parts[1])
+    parts = []
+    for name in slim:
+        batches = sinks.read_batches(t.spark, f"{path}/{name}", "n long, batch_id long")
+        rows = batches if name == "enriched_bookings" else sinks.latest_snapshot(batches)
+        counted = rows.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("bookings"))
+        parts.append(counted.select(F.lit(name).alias("report"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
@@ -358,13 +381,25 @@ def _(t):
     return streaming.spark.table("kerbside_places")
 
 
-@query("rt_progress")
+@query(
+    "rt_progress",
+    "SELECT 'trades' AS name, false AS active, true AS counted, count(DISTINCT window_start) AS state_rows "
+    f"FROM {windows('trades', 'CreatedTime', 600)}",
+    ("trades",),
+)
 def _(t):
     report = S.st_tumble(stream_tables(t).trades)
     path = scratch_path(t.spark, "progress")
     finished = sinks.to_snapshots(report, f"{path}/out", f"{path}/checkpoint", "complete", NOW, "trades")
     finished.awaitTermination()
-    return query_status(t.spark, [finished])
+    status = query_status(t.spark, [finished])
+    return status.select("name", "active", (F.col("batch") >= 0).alias("counted"), "state_rows")
+
+
+@query("rt_stop", _PLACES, ("bookings",))
+def _(t):
+    """A query without an end, stopped from outside; what it had taken is there."""
+    return _by_trigger(t, None)
 
 
 _ON_TIME = "is_late_data IS NULL"
