@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,10 @@ CACHED = 100_000
 BACK = 5.0
 
 _MARKS = re.escape("".join(DISGUISES))
-_LEET = re.compile(rf"[A-Za-z{_MARKS}]*(?:[A-Za-z][{_MARKS}]|[{_MARKS}][A-Za-z])[A-Za-z{_MARKS}]*")
+#: A disguise shows inside a word (up to three marks between letters) or at its beginning. Marks behind a
+#: word alone are punctuation; they join in only where the word is in doubt anyway.
+_LEET_CORE = re.compile(rf"[A-Za-z][{_MARKS}]{{1,3}}(?=[A-Za-z])|(?<![A-Za-z0-9{_MARKS}])[{_MARKS}](?=[A-Za-z])")
+_LEET_RUN = re.compile(rf"[A-Za-z{_MARKS}]+")
 _JUNK_END = re.compile(r"([^A-Za-z0-9])\1{2,}$")
 _APART = re.compile(rf"(?<![^\W_])(?:[A-Za-z{_MARKS}][ .\-_*]){{2,}}[A-Za-z{_MARKS}](?![^\W_])")
 _REPEAT = re.compile(r"[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*", re.IGNORECASE)
@@ -93,20 +97,19 @@ class Restorer:
 
     def _options(self, text: str) -> Iterator[list[tuple[str, float]]]:
         """For each character: what may be meant ("" nothing), and the cost."""
-        before = ""
-        for at, char in enumerate(text):
-            if char.isalpha():
-                options = [(char, 0.0)]
-                if char == before:
+        for char, run in groupby(text):
+            size = len(list(run))
+            for at in range(size):
+                if char.isalpha():
+                    options = [(char, 0.0)]
+                elif char in DISGUISES:
+                    options = [(char, KEPT), *((letter, SWAPPED) for letter in DISGUISES[char])]
+                else:
+                    options = [(char, 0.0), ("", APART)]
+                # Double letters are usual; from three on all but one may be dropped.
+                if at and size > 2 and (char.isalpha() or char in DISGUISES):
                     options.append(("", REPEATED))
-            elif char in DISGUISES:
-                options = [(char, KEPT), *((letter, SWAPPED) for letter in DISGUISES[char])]
-                if char == before:
-                    options.append(("", REPEATED))
-            else:
-                options = [(char, 0.0), ("", APART)]
-            before = char
-            yield options
+                yield options
 
     def decode(self, text: str) -> str:
         """The most likely meaning of a stretch (lower case)."""
@@ -141,7 +144,10 @@ class Restorer:
         return "".join(reversed(out))
 
     def _restored(self, match: re.Match) -> str:
-        text = match.group().lower()
+        return self._meant(match.group())
+
+    def _meant(self, text: str) -> str:
+        text = text.lower()
         junk = _JUNK_END.search(text)
         tail = junk.group() if junk else ""
         text = text[: len(text) - len(tail)]
@@ -157,9 +163,25 @@ class Restorer:
     def restore(self, text: str) -> str:
         """The text with every suspicious stretch as it is most likely meant; the rest as it is."""
         text = _APART.sub(self._restored, text)
-        text = _LEET.sub(self._restored, text)
+        text = self._without_leet(text)
         return _REPEAT.sub(self._restored, text)
 
+    def _without_leet(self, text: str) -> str:
+        out, done = [], 0
+        for core in _LEET_CORE.finditer(text):
+            first = core.start()
+            if first < done:
+                continue
+            while first > done and (text[first - 1] in _RUN):
+                first -= 1
+            run = _LEET_RUN.match(text, first)
+            out += (text[done:first], self._meant(run.group()))
+            done = run.end()
+        return "".join(out) + text[done:] if out else text
+
+
+_RUN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ").union(DISGUISES)
+
 
 def _flags() -> tuple[np.ndarray, ...]:
     letter = np.zeros(256, bool)
@@ -172,6 +194,15 @@ def _flags() -> tuple[np.ndarray, ...]:
 
 
 _LETTER, _MARK, _SEPARATOR = _flags()
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+
+
+def _first_bytes(offsets: np.ndarray, size: int) -> np.ndarray:
+    """True at the first byte of a text: what stands before it is no part of it."""
+    out = np.zeros(size, bool)
+    out[offsets[:-1][offsets[:-1] < size]] = True
+    return out
 
 
 def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -179,12 +210,28 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     letter, mark, apart = _LETTER[data], _MARK[data], _SEPARATOR[data]
     signs = np.zeros(len(data), bool)
     if len(data) > 1:
-        signs[1:] = (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])
+        # A mark before a letter: at the beginning of a word, or behind one to three marks and a letter.
+        lead = mark[:-1] & letter[1:]
+        free = np.concatenate(([True], ~(letter | mark | _DIGIT[data])[:-1]))[:-1]
+        behind = np.zeros(len(data), bool)
+        for size in (1, 2, 3):
+            held = letter[: len(data) - size].copy()
+            for step in range(1, size + 1):
+                held &= mark[step : len(data) - size + step]
+            behind[size:] |= held
+        signs[1:] = lead & (free | behind[:-1])
+        # The first byte of a text may follow any byte of the text before.
+        starts = offsets[:-1][offsets[:-1] < len(data) - 1]
+        signs[starts + 1] |= mark[starts] & letter[starts + 1]
     if len(data) > 2:
         low = data | 32
         signs[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & letter[1:-1]
     if len(data) > 4:
-        one = letter | mark
-        signs[4:] |= one[4:] & apart[3:-1] & one[2:-2] & apart[1:-3] & one[:-4]
+        # Three letters that stand alone: nothing of a word before the first and behind the last.
+        one, word = letter | mark, letter | _DIGIT[data]
+        alone = one[4:] & apart[3:-1] & one[2:-2] & apart[1:-3] & one[:-4]
+        alone[1:] &= ~word[:-5] | _first_bytes(offsets, len(data))[1:-4]
+        alone[:-1] &= ~word[5:] | _first_bytes(offsets, len(data))[5:]
+        signs[4:] |= alone
     seen = np.concatenate(([0], np.cumsum(signs)))
     return seen[offsets[1:]] > seen[offsets[:-1]]

@@ -89,10 +89,14 @@ class Model:
     lexicon: dict[str, float]
     fit: np.ndarray  # constant, weight of all the evidence, weight of the strongest
 
+    def __post_init__(self) -> None:
+        #: How words begin that can have a weight; all others are passed over.
+        self.heads = frozenset(feature.rstrip("*")[: PREFIXES[0]] for feature in self.lexicon)
+
     def evidence(self, text: str) -> tuple[float, float]:
         """Of all different words: the logarithm of the summed weights, and the largest weight."""
-        found = most = 0.0
-        for word in words_of(text):
+        found, most, heads, size = 0.0, 0.0, self.heads, PREFIXES[0]
+        for word in [word for word in words_of(text) if word[:size] in heads]:
             weight = max(self.lexicon.get(feature, 0.0) for feature in features_of(word))
             found += weight
             most = max(most, weight)

