@@ -9,7 +9,6 @@ a first pass searches one shard for each query, and the scores it finds are wher
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

@@ -158,7 +158,8 @@ def _covered(met: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("n")).alias("rank"), "stands_for"))["stands_for"].alias("bound")
     )
     odd = slots.join(bound, ["id", "item_id", "value"]).where("stands_for != bound")
-    agreed = met.join(odd.select("id", "item_id", "hash", "asked", "given"), ["id", "item_id", "hash", "asked", "given"], "left_anti")
+    window = ["id", "item_id", "hash", "asked", "given"]
+    agreed = met.join(odd.select(*window), window, "left_anti")
     counted = agreed.groupBy("id", "item_id", "windows").agg(F.count_distinct("hash").alias("matched"))
     coverage = F.col("matched") / F.col("windows")
     return counted.where(coverage >= COVERED).select(
@@ -168,7 +169,8 @@ def _covered(met: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item; a row with a null id is kept, as it can't be judged."""
-    found = small(stored(leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked"))
+    found = leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_leaked")).distinct()
+    found = small(stored(found, "leaked"))
     numbered = docs.toDF(*(f"_{at}" for at in range(len(docs.columns))))
     place = docs.columns.index(doc_id)
     kept = numbered.join(found, F.col(f"_{place}") == F.col("_leaked"), "left_anti")

@@ -35,7 +35,8 @@ def _spans(text: Column, pattern: str, kind: str, group: int = 0, kept=None) ->
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), 0)
     values = F.regexp_extract_all(text, F.lit(pattern), group) if group else whole
-    rows = F.arrays_zip(whole.alias("whole"), values.alias("value"), F.slice(F.split(text, pattern), 1, F.size(whole)).alias("gap"))
+    gaps = F.slice(F.split(text, pattern), 1, F.size(whole))
+    rows = F.arrays_zip(whole.alias("whole"), values.alias("value"), gaps.alias("gap"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
     def step(state: Column, row: Column) -> Column:
@@ -49,8 +50,10 @@ def _spans(text: Column, pattern: str, kind: str, group: int = 0, kept=None) ->
             F.xxhash64(row["value"]).alias("one"),
             F.xxhash64(F.lit(1), row["value"]).alias("two"),
         )
-        more = F.concat(state["spans"], F.array(span))
-        return F.struct(end.alias("at"), F.when(kept(row["value"]), more).otherwise(state["spans"]).alias("spans") if kept else more.alias("spans"))
+        spans = F.concat(state["spans"], F.array(span))
+        if kept:
+            spans = F.when(kept(row["value"]), spans).otherwise(state["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
 
     found = F.aggregate(rows, start, step, lambda state: state["spans"])
     return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(f"array<{_SPAN}>"))
@@ -89,7 +92,7 @@ def scan(
     owners or 5 repositories have it. A repository is a value of ``repository`` within an owner.
 
     A null text counts as empty; a document without spans has empty ``spans`` and the digest of the
-    empty string. A null owner counts as an owner of its own, a null repository likewise. Repeated
+    empty string. A null owner or repository counts as the empty one. Repeated
     rows are rows of their own; they add no owner. Texts are read whole. An empty table gives no rows.
     Other columns are not looked at.
     """
@@ -115,7 +118,8 @@ def scan(
         "spans",
     )
     spans = found.select("uid", "owner", "repository", F.explode(F.concat("base", "generic")).alias("span"))
-    spans = spans.select("uid", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository"), "span", "span.one", "span.two")
+    owner, repository = (F.coalesce(name, F.lit("")).alias(name) for name in ("owner", "repository"))
+    spans = spans.select("uid", owner, repository, "span", "span.one", "span.two")
     holders = spans.select("one", "two", "owner", "repository").distinct()
     spread = stored(
         holders.groupBy("one", "two").agg(

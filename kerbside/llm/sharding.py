@@ -88,8 +88,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text
     ``size`` is the number of UTF-8 bytes of the text plus 1, a null text having none; ``text_crc32``
     of a null text is that of the empty text. ``shard`` depends on the key (its hash, so that any type
     will do) and the number of shards only; ``grown_shard`` is the shard with one more. ``slot`` numbers
-    the rows of a shard from 0 without gaps: rows count up within (input split, shard), and each such part starts where the parts
-    before it end. Only counts per part go through one window, never the rows of a shard.
+    the rows of a shard from 0 without gaps: rows count up within (input split, shard), and each such
+    part starts where the parts before it end. Only counts per part go through one window, never the rows of a shard.
 
     Repeated rows and repeated keys go to one shard and get slots of their own. A null key is a
     key like any other. An empty table gives no rows. Other columns are not looked at.
