@@ -75,7 +75,8 @@ def _counted(model: np.ndarray, wanted: frozenset | None):
                 (toxic if label else clean).update(features if wanted is None else features & wanted)
         names = list(toxic | clean)
         if names:
-            columns = [pa.array(names), pa.array([toxic[x] for x in names], pa.int64()), pa.array([clean[x] for x in names], pa.int64())]
+            numbers = [pa.array([of[name] for name in names], pa.int64()) for of in (toxic, clean)]
+            columns = [pa.array(names), *numbers]
             yield pa.record_batch(columns, names=["feature", "toxic", "clean"])
 
     return run
