@@ -1,12 +1,14 @@
 """Noisy-channel restoring of disguised words: Viterbi over character lattices under a character model.
 
 Disguises are letters written as digits or marks (``1d10t``), letters set apart (``i d i o t``) and
-letters repeated (``idiiiot``). Each character of such a stretch becomes the letters it may stand for,
-or nothing, at a cost; the cheapest path by channel and language model is the restored text.
+letters repeated (``idiiiot``, inside a disguise also ``1diioot``). Each character of such a stretch becomes
+the letters it may stand for, or nothing, at a cost; the cheapest path by channel and language model is the
+restored text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -26,21 +28,25 @@ DISGUISES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il",
 }
-#: Costs in nats: a letter in disguise, a mark or digit that means itself, a repeated letter that is dropped,
-#: and a mark between letters that is dropped.
-SWAPPED, KEPT, REPEATED, APART = 1.0, 2.0, 2.0, 0.5
-#: Decoded stretches that a worker remembers.
-CACHED = 100_000
+#: Costs in nats: a letter in disguise, a mark or digit that means itself, a repeated letter that is dropped
+#: (of three or more; of two, as double letters are usual), and a mark between letters that is dropped.
+SWAPPED, KEPT, REPEATED, DOUBLED, APART = 1.0, 2.0, 2.0, 6.0, 0.5
+#: Marks that are no punctuation seldom mean themselves beside a letter.
+ODD, KEPT_ODD = "$@", 4.0
+#: Decoded stretches that a worker remembers, over all its tasks with one model.
+CACHED = 200_000
 #: Weight of the shorter context in the model.
 BACK = 5.0
 
 _MARKS = re.escape("".join(DISGUISES))
-#: A disguise shows inside a word (up to three marks between letters) or at its beginning. Marks behind a
-#: word alone are punctuation; they join in only where the word is in doubt anyway.
-_LEET_CORE = re.compile(rf"[A-Za-z][{_MARKS}]{{1,3}}(?=[A-Za-z])|(?<![A-Za-z0-9{_MARKS}])[{_MARKS}](?=[A-Za-z])")
+#: A mark beside a letter: the stretch of letters and marks around it is in doubt.
+_LEET_CORE = re.compile(rf"[{_MARKS}](?:(?<=[A-Za-z].)|(?=[A-Za-z]))")
 _LEET_RUN = re.compile(rf"[A-Za-z{_MARKS}]+")
 _JUNK_END = re.compile(r"([^A-Za-z0-9])\1{2,}$")
-_APART = re.compile(rf"(?<![^\W_])(?:[A-Za-z{_MARKS}][ .\-_*]){{2,}}[A-Za-z{_MARKS}](?![^\W_])")
+#: One letter or mark, up to ten times, between separators, however many and of whatever kind.
+_APART = re.compile(
+    rf"(?<![^\W_])(?:([A-Za-z{_MARKS}])\1{{0,9}}[ .\-_*]+){{2,}}([A-Za-z{_MARKS}])\2{{0,9}}(?![^\W_])", re.IGNORECASE
+)
 _REPEAT = re.compile(r"[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*", re.IGNORECASE)
 
 
@@ -90,43 +96,56 @@ def _code(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else OTHER if char.isalpha() else 0
 
 
+#: What the tasks of a worker have decoded so far, for the model they used last.
+_DECODED: dict[bytes, dict[str, str]] = {}
+
+
 class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model
-        self.known: dict[str, str] = {}
-
-    def _options(self, text: str) -> Iterator[list[tuple[str, float]]]:
-        """For each character: what may be meant ("" nothing), and the cost."""
+        key = hashlib.blake2b(np.ascontiguousarray(model).data).digest()
+        if key not in _DECODED:
+            _DECODED.clear()
+        self.known = _DECODED.setdefault(key, {})
+
+    def _options(self, text: str) -> Iterator[tuple[list[tuple[str, float]], bool, float]]:
+        """For each character: what may be meant ("" nothing) and the cost; whether it repeats a mark; the
+        cost if it is the letter before once more and dropped."""
         for char, run in groupby(text):
             size = len(list(run))
+            again = REPEATED if size > 2 else DOUBLED
             for at in range(size):
                 if char.isalpha():
-                    options = [(char, 0.0)]
+                    yield [(char, 0.0)], False, again
                 elif char in DISGUISES:
-                    options = [(char, KEPT), *((letter, SWAPPED) for letter in DISGUISES[char])]
+                    kept = KEPT_ODD if char in ODD else KEPT
+                    yield [(char, kept), *((letter, SWAPPED) for letter in DISGUISES[char])], at > 0, SWAPPED + again
                 else:
-                    options = [(char, 0.0), ("", APART)]
-                # Double letters are usual; from three on all but one may be dropped.
-                if at and size > 2 and (char.isalpha() or char in DISGUISES):
-                    options.append(("", REPEATED))
-                yield options
+                    yield [(char, 0.0), ("", APART)], False, 0.0
 
     def decode(self, text: str) -> str:
         """The most likely meaning of a stretch (lower case)."""
         model = self.model
         states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
-        for options in self._options(text):
+        for options, same, again in self._options(text):
             after: dict[int, tuple[float, tuple | None]] = {}
             for context, (score, path) in states.items():
+                last = context % CODES
                 for meant, cost in options:
                     if meant:
                         code = _code(meant)
-                        if code == 0 and context % CODES == 0:
+                        # Equal marks side by side are all letters or all marks.
+                        if same and (code == 0) != (last == 0):
+                            continue
+                        if code == 0 and last == 0:
                             total, new = score - cost, context
                         else:
                             total = score - cost + float(model[context * CODES + code])
                             new = (context * CODES + code) % (CODES * CODES * CODES) if code else 0
                         step = (meant, path)
+                        # The same letter once more, however it is written.
+                        if code and code == last and (context not in after or score - again > after[context][0]):
+                            after[context] = (score - again, path)
                     else:
                         total, new, step = score - cost, context, path
                     if new not in after or total > after[new][0]:
@@ -210,28 +229,20 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     letter, mark, apart = _LETTER[data], _MARK[data], _SEPARATOR[data]
     signs = np.zeros(len(data), bool)
     if len(data) > 1:
-        # A mark before a letter: at the beginning of a word, or behind one to three marks and a letter.
-        lead = mark[:-1] & letter[1:]
-        free = np.concatenate(([True], ~(letter | mark | _DIGIT[data])[:-1]))[:-1]
-        behind = np.zeros(len(data), bool)
-        for size in (1, 2, 3):
-            held = letter[: len(data) - size].copy()
-            for step in range(1, size + 1):
-                held &= mark[step : len(data) - size + step]
-            behind[size:] |= held
-        signs[1:] = lead & (free | behind[:-1])
-        # The first byte of a text may follow any byte of the text before.
-        starts = offsets[:-1][offsets[:-1] < len(data) - 1]
-        signs[starts + 1] |= mark[starts] & letter[starts + 1]
+        signs[1:] = (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])
     if len(data) > 2:
         low = data | 32
         signs[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & letter[1:-1]
     if len(data) > 4:
-        # Three letters that stand alone: nothing of a word before the first and behind the last.
+        # Of ``_APART`` the end of a first unit, separators, equal characters, and a separator behind them.
+        size, low, places = len(data), np.where(letter, data | 32, data), np.arange(len(data))
         one, word = letter | mark, letter | _DIGIT[data]
-        alone = one[4:] & apart[3:-1] & one[2:-2] & apart[1:-3] & one[:-4]
-        alone[1:] &= ~word[:-5] | _first_bytes(offsets, len(data))[1:-4]
-        alone[:-1] &= ~word[5:] | _first_bytes(offsets, len(data))[5:]
-        signs[4:] |= alone
+        first = one & _first_bytes(offsets, size)
+        first[1:] |= one[1:] & (~word[:-1] | (low[1:] == low[:-1]))
+        before = np.maximum.accumulate(np.where(apart, 0, places))
+        second = np.zeros(size, bool)
+        second[1:] = one[1:] & apart[:-1] & first[before[:-1]]
+        begun = np.maximum.accumulate(np.where(np.concatenate(([True], low[1:] != low[:-1])), places, 0))
+        signs[1:] |= apart[1:] & one[:-1] & second[begun[:-1]]
     seen = np.concatenate(([0], np.cumsum(signs)))
     return seen[offsets[1:]] > seen[offsets[:-1]]

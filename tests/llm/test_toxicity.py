@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.llm.deobfuscation import Restorer, suspicious
+from kerbside.llm.deobfuscation import GRAMS, Restorer, suspicious
 from kerbside.llm.toxicity import corpus_model, held_out, score_toxicity, without_toxic
 from tests.llm.helpers import MIDDLE, documents
 
@@ -23,19 +23,37 @@ def restorer(spark):
         ("p4th3t1c", "pathetic"),
         ("s c u m", "scum"),
         ("w0rthless", "worthless"),
+        ("w0rthle$$", "worthless"),
+        ("iid10oott", "idiot"),
+        ("an i--d - i__o..t here", "an idiot here"),
+        ("an ii dd i oo t here", "an idiot here"),
     ],
 )
 def test_disguises(restorer, written, meant):
     assert restorer.restore(written) == meant
 
 
+@pytest.mark.parametrize("written", ["sh17", "d13", "a55", "a$$", "fr33", "idi07", "f@990t", "an ii -- dd_.e"])
+def test_stretches_reach_the_lattice(written):
+    """Marks behind a word and long runs of marks are decoded, whatever the model then makes of them."""
+    asked = []
+
+    class Asked(Restorer):
+        def decode(self, text):
+            asked.append(text)
+            return text
+
+    Asked(np.full(GRAMS, -len(written), np.float32)).restore(written)
+    assert asked == [written.removeprefix("an ")]
+
+
 @pytest.mark.parametrize("text", ["The anat with by. Ores re threlyes", "12 345", "", "ééé", "a", "wh*** the### and%%%", "2024-01-02"])
 def test_plain_text_stays(restorer, text):
     assert restorer.restore(text) == text
 
 
 def test_doubt_is_never_too_rare(restorer):
-    texts = ["plain words", "an 1d", "i d i o t", "heyyy", "a", "", "x y z w", "é0é", "loo", "k-o-x"]
+    texts = ["plain words", "an 1d", "i d i o t", "heyyy", "a", "", "x y z w", "é0é", "loo", "k-o-x", "sh17", "a$$", "f@990t", "i--d - i__o", "ii dd oo", "x ii d y", "so a b"]
     data = "".join(texts).encode()
     offsets = np.cumsum([0, *(len(text.encode()) for text in texts)])
     doubted = suspicious(np.frombuffer(data, np.uint8), offsets)
