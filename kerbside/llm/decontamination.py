@@ -2,7 +2,7 @@
 
 Native. A question that was asked again with other numbers, names or units has the same template, so
 windows of the templates are joined by hash; then the values that fill the same slot must agree all
-through a document, so that a chance meeting of common phrases does not count as a copy.
+through an occurrence in the document, so that a chance meeting of common phrases does not count as a copy.
 """
 
 from __future__ import annotations
@@ -110,12 +110,13 @@ def leaks(
     """(doc_id, item_id, windows, matched, coverage): documents that hold a benchmark item.
 
     A document leaks an item if it holds at least ``COVERED`` of the item's windows (5 words of the
-    template each), with consistent slots: a value of the item stands for one value of the document,
-    the most frequent (of equals the smallest), and windows that say otherwise do not count.
+    template each) in one occurrence, with consistent slots: there, a number or unit at one place of the
+    item, or a name wherever it stands, means one value of the document, the most frequent (of equals the
+    smallest), and windows that say otherwise do not count. The best occurrence counts.
 
     Null or empty texts, and texts of fewer than 5 words, have no windows: such documents leak
     nothing, such items are never found. Rows with a null doc_id or item_id take no part. Rows that
-    repeat a doc_id are one document, rows that repeat an item_id one item. Texts are taken whole.
+    repeat a doc_id are one document (an occurrence lies in one row), rows that repeat an item_id one item. Texts are taken whole.
     Empty tables give no rows. Other columns are not looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text).where("doc_id is not null")
@@ -138,29 +139,52 @@ def leaks(
             F.xxhash64(F.slice("words", at + 1, WINDOW)).alias("hash"),
             F.slice("words", at + 1, WINDOW).alias("window"),
             F.slice("values", at + 1, WINDOW).alias("given"),
+            at.alias("at"),
         ),
     )
-    rows = _templated(texts).select("id", F.explode(windows).alias("w")).select("id", "w.*")
+    texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
+    rows = _templated(texts).select("id", F.explode(windows).alias("w")).select("id.*", "w.*")
     rows = rows.join(known, "hash", "left_semi").join(near, "id")
-    met = rows.join(small(index, 100_000).drop("place"), ["item_id", "hash", "window"])
-    met = stored(met.select("id", "item_id", "windows", "hash", "window", "asked", "given").distinct(), "met")
-    return _covered(met)
+    met = rows.join(small(index, 100_000), ["item_id", "hash", "window"])
+    met = met.select("id", "item_id", "windows", "hash", "window", "asked", "given", "place", "at", "body")
+    return _covered(stored(met.distinct(), "met"))
+
+
+def _occurrences(met: DataFrame) -> DataFrame:
+    """``met`` by occurrence: windows that lie equally far from their place in the item, and, as words may have
+    been put in or left out, spans of distances of up to half the item's length, each overlapping the next by half."""
+    far = F.col("at") - F.col("place")
+    span = F.floor(far / F.greatest(F.lit(1), F.floor(F.col("windows") / 4)))
+    keys = F.array(F.struct("body", F.lit(0).alias("k"), far.cast("long").alias("o")), *(
+        F.struct("body", F.lit(1).alias("k"), (span + more).cast("long").alias("o")) for more in (0, 1)
+    ))
+    return met.withColumn("found", F.explode(keys))
 
 
 def _covered(met: DataFrame) -> DataFrame:
-    """Coverage by the windows whose slots agree with the bindings of their document and item."""
+    """Coverage by the windows whose slots agree with the bindings of their occurrence; the best occurrence counts.
+
+    A number or unit is bound by its place in the item, a name by the name: it is one person all through.
+    """
+    met = _occurrences(met)
     zipped = F.arrays_zip("window", F.col("asked").alias("a"), F.col("given").alias("g"))
-    slots = met.select("id", "item_id", "hash", "asked", "given", F.explode(zipped).alias("slot"))
+    slots = met.select("id", "item_id", "found", "place", "at", F.posexplode(zipped).alias("pos", "slot"))
     slots = slots.where(F.col("slot.window").isin(NUMBER, UNIT, NAME))
-    slots = slots.withColumns({"value": F.col("slot.a"), "stands_for": F.col("slot.g")})
-    votes = slots.groupBy("id", "item_id", "value", "stands_for").agg(F.count(F.lit(1)).alias("n"))
-    bound = votes.groupBy("id", "item_id", "value").agg(
+    named = F.when(F.col("slot.window") == NAME, F.concat(F.lit("="), F.col("slot.a")))
+    slots = slots.select(
+        "id", "item_id", "found", "place", "at", F.col("slot.g").alias("stands_for"),
+        F.coalesce(named, (F.col("place") + F.col("pos")).cast("string")).alias("value"),
+    )
+    occurrence = ["id", "item_id", "found"]
+    votes = slots.groupBy(*occurrence, "value", "stands_for").agg(F.count(F.lit(1)).alias("n"))
+    bound = votes.groupBy(*occurrence, "value").agg(
         F.min(F.struct((-F.col("n")).alias("rank"), "stands_for"))["stands_for"].alias("bound")
     )
-    odd = slots.join(bound, ["id", "item_id", "value"]).where("stands_for != bound")
-    window = ["id", "item_id", "hash", "asked", "given"]
-    agreed = met.join(odd.select(*window), window, "left_anti")
-    counted = agreed.groupBy("id", "item_id", "windows").agg(F.count_distinct("hash").alias("matched"))
+    odd = slots.join(bound, [*occurrence, "value"]).where("stands_for != bound")
+    window = [*occurrence, "place", "at"]
+    agreed = met.join(odd.select(*window).distinct(), window, "left_anti")
+    counted = agreed.groupBy(*occurrence, "windows").agg(F.count_distinct("hash").alias("matched"))
+    counted = counted.groupBy("id", "item_id", "windows").agg(F.max("matched").alias("matched"))
     coverage = F.col("matched") / F.col("windows")
     return counted.where(coverage >= COVERED).select(
         F.col("id").alias("doc_id"), "item_id", "windows", "matched", coverage.alias("coverage")

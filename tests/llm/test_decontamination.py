@@ -67,3 +67,20 @@ def test_slots_must_agree(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     table = documents(spark, [(1, mixed, "s"), (2, same, "s")])
     assert {row.doc_id for row in leaks(table, items).collect()} == {2}
+
+
+SHOP = (
+    "The shop has {} red pens and {} blue pens on its shelf and then it sells {} red pens and {} blue pens "
+    "so how many pens does it still have left"
+)
+
+
+def test_equal_numbers_are_slots_of_their_own(spark):
+    """Numbers that happen to be equal in the item may differ in the document, also beside the original and variants."""
+    item = SHOP.format(4, 4, 2, 2)
+    variants = [SHOP.format(9, 7, 5, 3), SHOP.format(1, 2, 3, 4), SHOP.format(8, 6, 4, 2)]
+    longer = variants[0].replace("on its shelf", "on its very long shelf")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, variants[0], "s"), (2, "\n".join([item, *variants]), "s"), (3, " ".join(variants), "s"), (4, longer, "s")]
+    got = {row.doc_id: row.coverage for row in leaks(documents(spark, rows), items).collect()}
+    assert got[1] == got[2] == got[3] == 1.0 and 0.75 <= got[4] < 1.0
