@@ -15,7 +15,7 @@ from kerbside.llm.common import pick, small, stored
 WINDOW = 5
 #: Share of an item's windows that a document must hold.
 COVERED = 0.75
-#: A window with fewer plain words than this says too little and is not used.
+#: A window with fewer plain words than this says too little and is not used; an item without others counts as a whole.
 PLAIN = 3
 
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
@@ -27,12 +27,14 @@ UNITS = (
 )
 _UNIT = "|".join(sorted(UNITS.split(), key=lambda unit: -len(unit)))
 # Each pattern begins with the rarest character it can, as it is tried at every place of every text.
-_NAME_MARK = "\x01"
+_NAME_MARK, _JOINT = "\x01", "\x02"
 #: A unit that may be glued to its number.
 _UNIT_AFTER = rf"(?i)(\d)\s*({_UNIT})(?![\p{{L}}\p{{N}}])"
-#: A capitalised word after a word, comma, semicolon, colon, bracket or quote: it begins no sentence or line.
-_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:)\"'] \p{Lu})[\p{L}'’-]*"
-_MARK = rf"[^\p{{L}}\p{{N}}\s{_NAME_MARK}]"
+#: A capitalised word after a word, comma, semicolon, colon, bracket or quote: it begins no sentence. "A" and "I" are none.
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:)\"'] \p{Lu})(?!(?<=[AI])(?![\p{L}'’-]))[\p{L}'’-]*"
+#: A blank between two names: the run is one name.
+_BETWEEN = rf"\x20{_NAME_MARK}(?<={_NAME_MARK}[\p{{L}}'’-]{{1,40}}\x20{_NAME_MARK})"
+_MARK = rf"[^\p{{L}}\p{{N}}\s{_NAME_MARK}{_JOINT}]"
 _EDGE = rf"{_MARK}(?<!\S{_MARK}){_MARK}*|{_MARK}+(?!\S)"
 _NAMED = rf"{_NAME_MARK}\S+"
 _NUMBERS = r"\d(?<!\S\d)\d*(?:[.,:/]\d+)*(?!\S)"
@@ -41,23 +43,21 @@ _GAP = r"[\x20\x09-\x0D]+"
 
 
 def _bare(text: Column) -> Column:
-    """Words without the marks around them; a name has a control character in front."""
-    out = F.translate(text, _NAME_MARK, "")
+    """Words without the marks around them; a name has a control character in front and others inside a run of names."""
+    out = F.regexp_replace(F.translate(text, _NAME_MARK + _JOINT, ""), _GAP, " ")
     out = F.regexp_replace(out, _UNIT_AFTER, "$1 $2")
     out = F.regexp_replace(out, _NAME, _NAME_MARK + "$0")
+    out = F.regexp_replace(out, _BETWEEN, _JOINT)
     return F.regexp_replace(out, _EDGE, "")
 
 
-def _values(bare: Column) -> Column:
-    """The words themselves, in lower case; word for word beside ``_template``."""
-    return F.lower(F.translate(bare, _NAME_MARK, ""))
+def _plain(bare: Column) -> Column:
+    """Names as the words they are."""
+    return F.translate(bare, _JOINT + _NAME_MARK, " ")
 
 
-def _template(bare: Column) -> Column:
-    """The words with typed placeholders, in lower case."""
-    out = F.regexp_replace(bare, _NAMED, NAME)
-    out = F.regexp_replace(out, _NUMBERS, NUMBER)
-    return F.lower(F.regexp_replace(out, _UNITS, f"{NUMBER}$1{UNIT}"))
+def _units(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, _UNITS, f"{NUMBER}$1{UNIT}"))
 
 
 def _words(text: Column) -> Column:
@@ -76,27 +76,71 @@ def _hashes(words: Column) -> Column:
 
 
 def _templated(texts: DataFrame) -> DataFrame:
-    """(id, words, values): the template's words and, place for place, what they stand for."""
-    bare = _bare(F.coalesce(F.col("text"), F.lit("")))
-    return texts.select("id", _words(_template(bare)).alias("words"), _words(_values(bare)).alias("values"))
+    """(id, words, values, folded, spoken): the template's words and, place for place, what they stand for; the
+    same with names as words like others, in lower case, for texts whose case tells no names."""
+    texts = texts.select("id", _bare(F.coalesce(F.col("text"), F.lit(""))).alias("bare"))
+    bare = F.col("bare")
+    texts = texts.select("id", "bare", F.regexp_replace(bare, _NUMBERS, NUMBER).alias("numbered"))
+    numbered = F.col("numbered")
+    return texts.select(
+        "id",
+        _words(_units(F.regexp_replace(numbered, _NAMED, NAME))).alias("words"),
+        _words(F.lower(F.translate(bare, _NAME_MARK, ""))).alias("values"),
+        _words(_units(_plain(numbered))).alias("folded"),
+        _words(F.lower(_plain(bare))).alias("spoken"),
+    )
+
+
+#: How a window is read: with names typed, with names as words, or as the whole word sequence of an item.
+TYPED, FOLDED, WHOLE = 0, 1, 2
+
+
+def _read(templated: DataFrame, *more: str) -> DataFrame:
+    """A row of (kind, words, values) for either reading."""
+    kinds = F.array(*(
+        F.struct(F.lit(kind).alias("kind"), F.col(words).alias("words"), F.col(values).alias("values"))
+        for kind, words, values in ((TYPED, "words", "values"), (FOLDED, "folded", "spoken"))
+    ))
+    return templated.select("id", *more, F.explode(kinds).alias("as")).select("id", *more, "as.*")
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, place, hash, window, asked): windows with enough plain words."""
-    templated = _templated(items.select(F.col("item_id").alias("id"), "text"))
-    rows = templated.select(
-        F.col("id").alias("item_id"), "words", "values", F.explode(_starts(F.col("words"))).alias("place")
-    )
+    """(item_id, kind, place, hash, window, asked): windows with enough plain words; of items without any, all the words."""
+    templated = stored(_templated(items.select(F.col("item_id").alias("id"), "text")), "items")
+    rows = _read(templated).select("*", F.explode(_starts(F.col("words"))).alias("place"))
     window = F.slice("words", F.col("place") + 1, WINDOW)
     plain = F.size(F.filter(window, lambda word: ~word.isin(NUMBER, UNIT, NAME)))
-    kept = rows.where(plain >= PLAIN)
-    return kept.select(
-        "item_id",
-        "place",
-        F.xxhash64(window).alias("hash"),
-        window.alias("window"),
-        F.slice("values", F.col("place") + 1, WINDOW).alias("asked"),
+    asked = F.slice("values", F.col("place") + 1, WINDOW)
+    kept = rows.where(plain >= PLAIN).select(
+        F.col("id").alias("item_id"), "kind", "place", F.xxhash64(window).alias("hash"), window.alias("window"), asked.alias("asked")
     )
+    kept = stored(kept, "usable")
+    short = templated.join(kept.select(F.col("item_id").alias("id")).distinct(), "id", "left_anti").where(F.size("spoken") > 0)
+    whole = short.select(
+        F.col("id").alias("item_id"), F.lit(WHOLE).alias("kind"), F.lit(0).alias("place"), F.xxhash64("spoken").alias("hash"),
+        F.col("spoken").alias("window"), F.col("spoken").alias("asked"),
+    )
+    return kept.unionByName(whole)
+
+
+def _slices(words: Column, length: int) -> Column:
+    """All runs of so many words."""
+    last = F.size(words) - F.lit(length)
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.slice(words, at + 1, length))
+
+
+def _whole(templated: DataFrame, index: DataFrame) -> DataFrame:
+    """(id, item_id, windows, matched): documents that hold all the words of an item without windows, word for word."""
+    asked = index.where(F.col("kind") == WHOLE).select("item_id", "hash", "window").distinct()
+    lengths = sorted(row[0] for row in asked.select(F.size("window")).distinct().collect())
+    if not lengths:
+        return None
+    runs = F.concat(*(_slices(F.col("spoken"), length) for length in lengths))
+    runs = templated.select("id", F.explode(F.array_distinct(F.transform(runs, lambda run: F.xxhash64(run)))).alias("hash"))
+    one = F.lit(1).cast("long")
+    found = runs.join(small(asked.select("item_id", "hash")), "hash").select("id", "item_id").distinct()
+    return found.select("id", "item_id", one.alias("windows"), one.alias("matched"))
 
 
 def leaks(
@@ -114,23 +158,28 @@ def leaks(
     item, or a name wherever it stands, means one value of the document, the most frequent (of equals the
     smallest), and windows that say otherwise do not count. The best occurrence counts.
 
-    Null or empty texts, and texts of fewer than 5 words, have no windows: such documents leak
-    nothing, such items are never found. Rows with a null doc_id or item_id take no part. Rows that
+    Texts are also read with names as words like others, in lower case: a copy whose case tells no names is
+    found by its own words; the better reading counts. An item without usable windows (fewer than 5 words, or
+    hardly any plain ones) is found where all its words stand in a row, as one window. Null or empty texts
+    leak nothing and are never found. Rows with a null doc_id or item_id take no part. Rows that
     repeat a doc_id are one document (an occurrence lies in one row), rows that repeat an item_id one item. Texts are taken whole.
     Empty tables give no rows. Other columns are not looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text).where("doc_id is not null")
     items = pick(benchmark, item_id=item_id, text=item_text).where("item_id is not null")
     index = stored(_item_windows(items), "item-windows")
-    known = small(index.select("hash").distinct())
+    usable = index.where(F.col("kind") != WHOLE)
+    known = small(usable.select("hash").distinct())
     # First only numbers travel: which documents hold which windows of any item.
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    hashes = _templated(texts).select("id", F.explode(_hashes(F.col("words"))).alias("hash"))
+    templated = _templated(texts)
+    either = F.array_union(_hashes(F.col("words")), _hashes(F.col("folded")))
+    hashes = templated.select("id", F.explode(either).alias("hash"))
     held = stored(hashes.join(known, "hash", "left_semi").distinct(), "held")
-    heads = index.select("item_id", "hash").distinct()
-    heads = heads.join(heads.groupBy("item_id").agg(F.count(F.lit(1)).alias("windows")), "item_id")
-    near = held.join(small(heads), "hash").groupBy("id", "item_id", "windows").agg(F.count(F.lit(1)).alias("n"))
-    near = stored(near.where(F.col("n") >= COVERED * F.col("windows")).select("id", "item_id", "windows"), "near")
+    heads = usable.select("item_id", "kind", "hash").distinct()
+    heads = heads.join(heads.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("windows")), ["item_id", "kind"])
+    near = held.join(small(heads), "hash").groupBy("id", "item_id", "kind", "windows").agg(F.count(F.lit(1)).alias("n"))
+    near = stored(near.where(F.col("n") >= COVERED * F.col("windows")).select("id", "item_id", "kind", "windows"), "near")
     # Then the words of those documents, to see what fills the slots.
     texts = texts.join(small(near.select("id").distinct()), "id", "left_semi")
     windows = F.transform(
@@ -143,11 +192,16 @@ def leaks(
         ),
     )
     texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
-    rows = _templated(texts).select("id", F.explode(windows).alias("w")).select("id.*", "w.*")
-    rows = rows.join(known, "hash", "left_semi").join(near, "id")
-    met = rows.join(small(index, 100_000), ["item_id", "hash", "window"])
-    met = met.select("id", "item_id", "windows", "hash", "window", "asked", "given", "place", "at", "body")
-    return _covered(stored(met.distinct(), "met"))
+    rows = _read(_templated(texts)).select("id", "kind", F.explode(windows).alias("w")).select("id.*", "kind", "w.*")
+    rows = rows.join(known, "hash", "left_semi").join(near, ["id", "kind"])
+    met = rows.join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
+    met = met.select("id", "item_id", "kind", "windows", "hash", "window", "asked", "given", "place", "at", "body")
+    best = _covered(stored(met.distinct(), "met"))
+    whole = _whole(templated, index)
+    best = best if whole is None else best.unionByName(whole)
+    return best.select(
+        F.col("id").alias("doc_id"), "item_id", "windows", "matched", (F.col("matched") / F.col("windows")).alias("coverage")
+    )
 
 
 def _occurrences(met: DataFrame) -> DataFrame:
@@ -155,8 +209,8 @@ def _occurrences(met: DataFrame) -> DataFrame:
     been put in or left out, spans of distances of up to half the item's length, each overlapping the next by half."""
     far = F.col("at") - F.col("place")
     span = F.floor(far / F.greatest(F.lit(1), F.floor(F.col("windows") / 4)))
-    keys = F.array(F.struct("body", F.lit(0).alias("k"), far.cast("long").alias("o")), *(
-        F.struct("body", F.lit(1).alias("k"), (span + more).cast("long").alias("o")) for more in (0, 1)
+    keys = F.array(F.struct("body", "kind", F.lit(0).alias("k"), far.cast("long").alias("o")), *(
+        F.struct("body", "kind", F.lit(1).alias("k"), (span + more).cast("long").alias("o")) for more in (0, 1)
     ))
     return met.withColumn("found", F.explode(keys))
 
@@ -184,11 +238,9 @@ def _covered(met: DataFrame) -> DataFrame:
     window = [*occurrence, "place", "at"]
     agreed = met.join(odd.select(*window).distinct(), window, "left_anti")
     counted = agreed.groupBy(*occurrence, "windows").agg(F.count_distinct("hash").alias("matched"))
-    counted = counted.groupBy("id", "item_id", "windows").agg(F.max("matched").alias("matched"))
-    coverage = F.col("matched") / F.col("windows")
-    return counted.where(coverage >= COVERED).select(
-        F.col("id").alias("doc_id"), "item_id", "windows", "matched", coverage.alias("coverage")
-    )
+    counted = counted.where(F.col("matched") >= COVERED * F.col("windows"))
+    rank = F.struct((F.col("matched") / F.col("windows")).alias("coverage"), "windows", "matched")
+    return counted.groupBy("id", "item_id").agg(F.max(rank).alias("best")).select("id", "item_id", "best.windows", "best.matched")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

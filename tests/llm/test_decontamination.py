@@ -84,3 +84,14 @@ def test_equal_numbers_are_slots_of_their_own(spark):
     rows = [(1, variants[0], "s"), (2, "\n".join([item, *variants]), "s"), (3, " ".join(variants), "s"), (4, longer, "s")]
     got = {row.doc_id: row.coverage for row in leaks(documents(spark, rows), items).collect()}
     assert got[1] == got[2] == got[3] == 1.0 and 0.75 <= got[4] < 1.0
+
+
+def test_copies_in_another_case_or_layout_and_dense_items(spark):
+    run = ITEM.replace("Boston", "New York").replace("Alice", "Ann Lee")
+    dense = {2: "What is 12 * 7 + 5?", 3: "Compute 3/4 + 5/6 - 1/2.", 4: "Is Paris in France?"}
+    items = spark.createDataFrame([(1, ITEM), *dense.items()], "item_id long, text string")
+    rows = [(1, ITEM.lower()), (2, ITEM.upper()), (3, ITEM.replace(" ", "\n")), (4, run)]
+    rows += [(10 + at, f"well, {text.lower()} we asked") for at, text in dense.items()]
+    rows += [(20, "What is 12 * 7 + 6?"), (21, "is paris france in"), (22, "compute 3/4")]
+    got = {(row.doc_id, row.item_id): row.coverage for row in leaks(documents(spark, [(*row, "s") for row in rows]), items).collect()}
+    assert got == {(1, 1): 1.0, (2, 1): 1.0, (3, 1): 1.0, (4, 1): 1.0, (12, 2): 1.0, (13, 3): 1.0, (14, 4): 1.0}
