@@ -12,6 +12,7 @@ from kerbside.llm import (
     line_dedup,
     near_dups,
     packing,
+    periodic_runs,
     secrets,
     sharding,
     toxicity,
@@ -71,6 +72,24 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    seed = F.crc32(F.col("doc_id").cast("string"))
+    looped = F.when(seed % 10 == 0, periodic_runs.with_loops(F.col("text"), seed)).otherwise(F.col("text"))
+    found = periodic_runs.periodic_runs(docs.select("doc_id", looped.alias("text")))
+    best = F.array_min(F.transform("runs", lambda run: F.struct(-run["length"], run["start"], run["period"], run.alias("run"))))
+    line = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    found = found.withColumn("best", best["run"])
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")),
+        F.floor(F.expr("1000 * best.length div best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -84,5 +103,6 @@ QUERIES = {
         op8_url_filters,
         op9_sharding,
         op10_decontamination,
+        op13_periodic_runs,
     )
 }
