@@ -123,4 +123,49 @@ SELECT o.page_id, o.host, o.path, o.rule,
 FROM own o LEFT JOIN around a ON a.address = o.address AND o.address <> ''
 """
 
-ORACLE_SQL = {"op1_top_k": OP1, "op3_line_dedup": OP3, "op6_near_dups": OP6, "op8_url_filters": OP8}
+
+
+def _op11(rounds: int = 5, clusters: int = 40) -> str:
+    """Each round as two steps: assign (a), then move (c)."""
+
+    def assign(at: int) -> str:
+        apart = "list_sum(list_transform(list_zip(v.q, c.q), lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS HUGEINT)))"
+        return f"""a{at} AS (
+    SELECT r, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d
+    FROM (SELECT v.r, c.cluster, {apart} AS d FROM kept v, c{at} c) GROUP BY r)"""
+
+    def move(at: int) -> str:
+        return f"""c{at + 1} AS (
+    SELECT c.cluster, coalesce(m.q, c.q) AS q
+    FROM c{at} c LEFT JOIN (
+        SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS q
+        FROM (SELECT a.cluster, place, sum(v.q[place]) AS s, count(*) AS n
+              FROM a{at} a JOIN kept v ON a.r = v.r, range(1, 65) t(place) GROUP BY a.cluster, place)
+        GROUP BY cluster) m ON m.cluster = c.cluster)"""
+
+    steps = [step for at in range(rounds) for step in (assign(at), move(at))] + [assign(rounds)]
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, q
+    FROM kept WHERE vec_id IS NOT NULL ORDER BY sha256('2:' || vec_id) LIMIT {clusters}),
+{", ".join(steps)},
+inertia AS (SELECT cluster, sum(d) AS one FROM a{rounds} GROUP BY cluster)
+SELECT v.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(i.one AS BIGINT) AS cluster_inertia, CAST((SELECT sum(one) FROM inertia) AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c.q, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept v ON v.r = a.r JOIN inertia i ON i.cluster = a.cluster JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+
+
+ORACLE_SQL = {
+    "op1_top_k": OP1,
+    "op3_line_dedup": OP3,
+    "op6_near_dups": OP6,
+    "op8_url_filters": OP8,
+    "op11_centroids": _op11(),
+}

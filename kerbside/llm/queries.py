@@ -15,6 +15,7 @@ from kerbside.llm import (
     periodic_runs,
     secrets,
     sharding,
+    simplex_clusters,
     toxicity,
     url_filters,
 )
@@ -72,6 +73,18 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, centroids = simplex_clusters.cluster(table(spark, folder, "embeddings"))
+    centroids = centroids.select(
+        "cluster",
+        F.col("inertia").alias("cluster_inertia"),
+        F.col("total").alias("inertia"),
+        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"),
+    )
+    # One row per centroid, 40 at most.
+    return assigned.join(F.broadcast(centroids), "cluster").select("vec_id", "cluster", "distance", *centroids.columns[1:])
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     seed = F.crc32(F.col("doc_id").cast("string"))
@@ -103,6 +116,7 @@ QUERIES = {
         op8_url_filters,
         op9_sharding,
         op10_decontamination,
+        op11_centroids,
         op13_periodic_runs,
     )
 }
