@@ -13,6 +13,7 @@ from kerbside.llm import (
     near_dups,
     packing,
     periodic_runs,
+    pii,
     secrets,
     sharding,
     simplex_clusters,
@@ -85,6 +86,17 @@ def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return assigned.join(F.broadcast(centroids), "cluster").select("vec_id", "cluster", "distance", *centroids.columns[1:])
 
 
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.KINDS),
+        "n_added",
+        F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     seed = F.crc32(F.col("doc_id").cast("string"))
@@ -117,6 +129,7 @@ QUERIES = {
         op9_sharding,
         op10_decontamination,
         op11_centroids,
+        op12_pii,
         op13_periodic_runs,
     )
 }
