@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import pick, small, stored
+from kerbside.llm.spans import bound
 
 WINDOW = 5
 #: Share of an item's windows that a document must hold.
@@ -34,17 +35,26 @@ _UNIT_AFTER = rf"(?i)(\d)\s*({_UNIT})(?![\p{{L}}\p{{N}}])"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:)\"'] \p{Lu})(?!(?<=[AI])(?![\p{L}'’-]))[\p{L}'’-]*"
 #: A blank between two names: the run is one name.
 _BETWEEN = rf"\x20{_NAME_MARK}(?<={_NAME_MARK}[\p{{L}}'’-]{{1,40}}\x20{_NAME_MARK})"
-_MARK = rf"[^\p{{L}}\p{{N}}\s{_NAME_MARK}{_JOINT}]"
-_EDGE = rf"{_MARK}(?<!\S{_MARK}){_MARK}*|{_MARK}+(?!\S)"
+#: The common characters come first, as they are tried in this order.
+_MARK = rf"[^a-z\x20A-Z\p{{L}}\p{{N}}\s{_NAME_MARK}{_JOINT}]"
+#: A run of marks behind a blank, or the whole of one before a blank; each run is looked at once.
+_EDGE = rf"{_MARK}(?:(?<!\S{_MARK}){_MARK}*+|(?<!{_MARK}{{2}}){_MARK}*+(?!\S))"
 _NAMED = rf"{_NAME_MARK}\S+"
 _NUMBERS = r"\d(?<!\S\d)\d*(?:[.,:/]\d+)*(?!\S)"
 _UNITS = rf"(?i){NUMBER}(\s+)({_UNIT})(?!\S)"
-_GAP = r"[\x20\x09-\x0D]+"
+#: White space other than one blank.
+_RAGGED = r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++"
+
+
+def _without(text: Column, *characters: str) -> Column:
+    for character in characters:
+        text = F.replace(text, F.lit(character), F.lit(""))
+    return text
 
 
 def _bare(text: Column) -> Column:
     """Words without the marks around them; a name has a control character in front and others inside a run of names."""
-    out = F.regexp_replace(F.translate(text, _NAME_MARK + _JOINT, ""), _GAP, " ")
+    out = F.regexp_replace(_without(text, _NAME_MARK, _JOINT), _RAGGED, " ")
     out = F.regexp_replace(out, _UNIT_AFTER, "$1 $2")
     out = F.regexp_replace(out, _NAME, _NAME_MARK + "$0")
     out = F.regexp_replace(out, _BETWEEN, _JOINT)
@@ -53,7 +63,7 @@ def _bare(text: Column) -> Column:
 
 def _plain(bare: Column) -> Column:
     """Names as the words they are."""
-    return F.translate(bare, _JOINT + _NAME_MARK, " ")
+    return _without(F.replace(bare, F.lit(_JOINT), F.lit(" ")), _NAME_MARK)
 
 
 def _units(text: Column) -> Column:
@@ -61,7 +71,8 @@ def _units(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, _GAP), lambda word: word != "")
+    """Of a text whose white space is blanks."""
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _starts(words: Column) -> Column:
@@ -70,76 +81,103 @@ def _starts(words: Column) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(words: Column) -> Column:
-    """A hash for every window, in order."""
-    return F.transform(_starts(words), lambda at: F.xxhash64(F.slice(words, at + 1, WINDOW)))
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def _hash(words: Column) -> Column:
+    """The hash of a window, or of any other run of words: a hash of the words' hashes."""
+    return F.xxhash64(_word_hashes(words))
+
+
+def _hashes(words: Column, length: int = WINDOW) -> Column:
+    """``_hash`` of every run of so many words, in order; each word is hashed once."""
+
+    def runs(hashes: Column) -> Column:
+        last = F.size(hashes) - F.lit(length)
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        if length > WINDOW:
+            return F.transform(starts, lambda at: F.xxhash64(F.slice(hashes, at + 1, length)))
+        return F.transform(starts, lambda at: F.xxhash64(*(F.get(hashes, at + more) for more in range(length))))
+
+    return bound(_word_hashes(words), runs)
 
 
 def _templated(texts: DataFrame) -> DataFrame:
-    """(id, words, values, folded, spoken): the template's words and, place for place, what they stand for; the
-    same with names as words like others, in lower case, for texts whose case tells no names."""
+    """(id, words, values, folded, spoken, masked): the template's words and, place for place, what they stand for; the
+    same with names as words like others, in lower case, for texts whose case tells no names; and ``folded`` with a
+    placeholder for each word of a name."""
     texts = texts.select("id", _bare(F.coalesce(F.col("text"), F.lit(""))).alias("bare"))
     bare = F.col("bare")
     texts = texts.select("id", "bare", F.regexp_replace(bare, _NUMBERS, NUMBER).alias("numbered"))
     numbered = F.col("numbered")
+    apart = F.replace(numbered, F.lit(_JOINT), F.lit(" " + _NAME_MARK))
     return texts.select(
         "id",
         _words(_units(F.regexp_replace(numbered, _NAMED, NAME))).alias("words"),
-        _words(F.lower(F.translate(bare, _NAME_MARK, ""))).alias("values"),
+        _words(F.lower(_without(bare, _NAME_MARK))).alias("values"),
         _words(_units(_plain(numbered))).alias("folded"),
         _words(F.lower(_plain(bare))).alias("spoken"),
+        _words(_units(F.regexp_replace(apart, _NAMED, NAME))).alias("masked"),
     )
 
 
-#: How a window is read: with names typed, with names as words, or as the whole word sequence of an item.
-TYPED, FOLDED, WHOLE = 0, 1, 2
+#: How a window is read: with names typed; with names as words; with the item's names open in a document whose case
+#: tells no names; or as the whole word sequence of an item.
+TYPED, FOLDED, MASKED, WHOLE = 0, 1, 2, 3
+_OF_ITEMS = ((TYPED, "words", "values"), (FOLDED, "folded", "spoken"), (MASKED, "masked", "spoken"))
+_OF_DOCUMENTS = ((TYPED, "words", "values"), (FOLDED, "folded", "spoken"), (MASKED, "folded", "spoken"))
 
 
-def _read(templated: DataFrame, *more: str) -> DataFrame:
-    """A row of (kind, words, values) for either reading."""
+def _read(templated: DataFrame, readings: tuple) -> DataFrame:
+    """A row of (kind, words, values) for each reading."""
     kinds = F.array(*(
         F.struct(F.lit(kind).alias("kind"), F.col(words).alias("words"), F.col(values).alias("values"))
-        for kind, words, values in ((TYPED, "words", "values"), (FOLDED, "folded", "spoken"))
+        for kind, words, values in readings
     ))
-    return templated.select("id", *more, F.explode(kinds).alias("as")).select("id", *more, "as.*")
+    return templated.select("id", F.explode(kinds).alias("as")).select("id", "as.*")
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
     """(item_id, kind, place, hash, window, asked): windows with enough plain words; of items without any, all the words."""
     templated = stored(_templated(items.select(F.col("item_id").alias("id"), "text")), "items")
-    rows = _read(templated).select("*", F.explode(_starts(F.col("words"))).alias("place"))
+    rows = _read(templated, _OF_ITEMS).where((F.col("kind") != MASKED) | F.array_contains("words", NAME))
+    rows = rows.select("*", F.explode(_starts(F.col("words"))).alias("place"))
     window = F.slice("words", F.col("place") + 1, WINDOW)
     plain = F.size(F.filter(window, lambda word: ~word.isin(NUMBER, UNIT, NAME)))
     asked = F.slice("values", F.col("place") + 1, WINDOW)
     kept = rows.where(plain >= PLAIN).select(
-        F.col("id").alias("item_id"), "kind", "place", F.xxhash64(window).alias("hash"), window.alias("window"), asked.alias("asked")
+        F.col("id").alias("item_id"), "kind", "place", _hash(window).alias("hash"), window.alias("window"), asked.alias("asked")
     )
     kept = stored(kept, "usable")
     short = templated.join(kept.select(F.col("item_id").alias("id")).distinct(), "id", "left_anti").where(F.size("spoken") > 0)
     whole = short.select(
-        F.col("id").alias("item_id"), F.lit(WHOLE).alias("kind"), F.lit(0).alias("place"), F.xxhash64("spoken").alias("hash"),
+        F.col("id").alias("item_id"), F.lit(WHOLE).alias("kind"), F.lit(0).alias("place"), _hash(F.col("spoken")).alias("hash"),
         F.col("spoken").alias("window"), F.col("spoken").alias("asked"),
     )
     return kept.unionByName(whole)
 
 
-def _slices(words: Column, length: int) -> Column:
-    """All runs of so many words."""
-    last = F.size(words) - F.lit(length)
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda at: F.slice(words, at + 1, length))
+def _open(kind: Column, window: Column) -> Column:
+    """Whether a window of an item has names that may be any word of the document."""
+    return (kind == MASKED) & F.array_contains(window, NAME)
+
+
+def _opened(met: DataFrame, rows: DataFrame, usable: DataFrame) -> DataFrame:
+    """Windows with open names, looked for where the item's other windows say that they must be."""
+    offsets = met.select("id", "item_id", "body", "windows", (F.col("at") - F.col("place")).alias("far")).distinct()
+    opened = usable.where(_open(F.col("kind"), F.col("window"))).drop("kind")
+    due = offsets.join(small(opened, 100_000), "item_id").withColumn("at", F.col("place") + F.col("far"))
+    there = rows.where(F.col("kind") == MASKED).select("id", "body", "at", F.col("window").alias("seen"), "kind", "given")
+    there = due.join(there, ["id", "body", "at"])
+    return there.where(F.forall(F.zip_with("window", "seen", lambda w, s: (w == NAME) | (w == s)), lambda same: same))
 
 
-def _whole(templated: DataFrame, index: DataFrame) -> DataFrame:
+def _whole(held: DataFrame, index: DataFrame) -> DataFrame:
     """(id, item_id, windows, matched): documents that hold all the words of an item without windows, word for word."""
-    asked = index.where(F.col("kind") == WHOLE).select("item_id", "hash", "window").distinct()
-    lengths = sorted(row[0] for row in asked.select(F.size("window")).distinct().collect())
-    if not lengths:
-        return None
-    runs = F.concat(*(_slices(F.col("spoken"), length) for length in lengths))
-    runs = templated.select("id", F.explode(F.array_distinct(F.transform(runs, lambda run: F.xxhash64(run)))).alias("hash"))
+    asked = index.where(F.col("kind") == WHOLE).select("item_id", "hash").distinct()
     one = F.lit(1).cast("long")
-    found = runs.join(small(asked.select("item_id", "hash")), "hash").select("id", "item_id").distinct()
+    found = held.join(small(asked), "hash").select("id", "item_id").distinct()
     return found.select("id", "item_id", one.alias("windows"), one.alias("matched"))
 
 
@@ -159,7 +197,8 @@ def leaks(
     smallest), and windows that say otherwise do not count. The best occurrence counts.
 
     Texts are also read with names as words like others, in lower case: a copy whose case tells no names is
-    found by its own words; the better reading counts. An item without usable windows (fewer than 5 words, or
+    found by its own words, and one with other names as well if the windows between the item's names lie where
+    they must and make up for it (an item with names in all windows is not found so); the better reading counts. An item without usable windows (fewer than 5 words, or
     hardly any plain ones) is found where all its words stand in a row, as one window. Null or empty texts
     leak nothing and are never found. Rows with a null doc_id or item_id take no part. Rows that
     repeat a doc_id are one document (an occurrence lies in one row), rows that repeat an item_id one item. Texts are taken whole.
@@ -169,36 +208,47 @@ def leaks(
     items = pick(benchmark, item_id=item_id, text=item_text).where("item_id is not null")
     index = stored(_item_windows(items), "item-windows")
     usable = index.where(F.col("kind") != WHOLE)
-    known = small(usable.select("hash").distinct())
-    # First only numbers travel: which documents hold which windows of any item.
+    whole = index.where(F.col("kind") == WHOLE).select(F.size("window")).distinct()
+    lengths = sorted(row[0] for row in whole.collect())
+    # First only numbers travel: which documents hold which windows, or whole short items. Each text is read once.
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    templated = _templated(texts)
     either = F.array_union(_hashes(F.col("words")), _hashes(F.col("folded")))
-    hashes = templated.select("id", F.explode(either).alias("hash"))
-    held = stored(hashes.join(known, "hash", "left_semi").distinct(), "held")
-    heads = usable.select("item_id", "kind", "hash").distinct()
-    heads = heads.join(heads.groupBy("item_id", "kind").agg(F.count(F.lit(1)).alias("windows")), ["item_id", "kind"])
-    near = held.join(small(heads), "hash").groupBy("id", "item_id", "kind", "windows").agg(F.count(F.lit(1)).alias("n"))
-    near = stored(near.where(F.col("n") >= COVERED * F.col("windows")).select("id", "item_id", "kind", "windows"), "near")
+    if lengths:
+        either = F.concat(either, *(_hashes(F.col("spoken"), length) for length in lengths))
+    hashes = _templated(texts).select("id", F.explode(either).alias("hash"))
+    held = stored(hashes.join(small(index.select("hash").distinct()), "hash", "left_semi").distinct(), "held")
+    heads = usable.select("item_id", "kind", "hash", _open(F.col("kind"), F.col("window")).alias("open")).distinct()
+    sizes = heads.groupBy("item_id", "kind").agg(
+        F.count(F.lit(1)).alias("windows"), F.count(F.when(F.col("open"), 1)).alias("n_open")
+    )
+    # Windows with open names are not looked up; the others must be so many that those can make up for the rest.
+    need = F.greatest(F.lit(1), F.col("windows") * COVERED - F.col("n_open"))
+    heads = heads.where("not open").join(sizes.select("item_id", "kind", "windows", need.alias("need")), ["item_id", "kind"])
+    near = held.join(small(heads), "hash").groupBy("id", "item_id", "kind", "windows", "need").agg(F.count(F.lit(1)).alias("n"))
+    near = stored(near.where("n >= need").select("id", "item_id", "kind", "windows"), "near")
     # Then the words of those documents, to see what fills the slots.
     texts = texts.join(small(near.select("id").distinct()), "id", "left_semi")
     windows = F.transform(
         _starts(F.col("words")),
         lambda at: F.struct(
-            F.xxhash64(F.slice("words", at + 1, WINDOW)).alias("hash"),
+            _hash(F.slice("words", at + 1, WINDOW)).alias("hash"),
             F.slice("words", at + 1, WINDOW).alias("window"),
             F.slice("values", at + 1, WINDOW).alias("given"),
             at.alias("at"),
         ),
     )
     texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
-    rows = _read(_templated(texts)).select("id", "kind", F.explode(windows).alias("w")).select("id.*", "kind", "w.*")
-    rows = rows.join(known, "hash", "left_semi").join(near, ["id", "kind"])
-    met = rows.join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
-    met = met.select("id", "item_id", "kind", "windows", "hash", "window", "asked", "given", "place", "at", "body")
-    best = _covered(stored(met.distinct(), "met"))
-    whole = _whole(templated, index)
-    best = best if whole is None else best.unionByName(whole)
+    rows = _read(_templated(texts), _OF_DOCUMENTS).select("id", "kind", F.explode(windows).alias("w"))
+    rows = stored(rows.select("id.*", "kind", "w.*").join(small(near.select("id", "kind").distinct()), ["id", "kind"], "left_semi"), "rows")
+    known = small(usable.select("hash").distinct())
+    met = rows.join(known, "hash", "left_semi").join(near, ["id", "kind"])
+    met = met.join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
+    columns = ["id", "item_id", "kind", "windows", "hash", "window", "asked", "given", "place", "at", "body"]
+    met = stored(met.select(*columns).distinct(), "met")
+    met = met.unionByName(_opened(met.where(F.col("kind") == MASKED), rows, usable).select(*columns))
+    best = _covered(stored(met.distinct(), "met-all"))
+    if lengths:
+        best = best.unionByName(_whole(held, index))
     return best.select(
         F.col("id").alias("doc_id"), "item_id", "windows", "matched", (F.col("matched") / F.col("windows")).alias("coverage")
     )

@@ -50,7 +50,7 @@ def test_reparameterised_questions(spark):
     ).selectExpr("*", "1 as TEXT", "2 as id", "3 as hash")
     table = documents(spark, [(*row, "s") for row in rows])
     got = {(row.doc_id, row.item_id): row for row in leaks(table, items).collect()}
-    assert {pair for pair in got if pair[0] != 2} == {(1, 1), (3, 1), (4, 1), (9, 1), (10, 1)}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 1), (9, 1), (10, 1)}
     assert got[1, 1].coverage == 1.0 and got[3, 1].coverage == 1.0
     assert got[4, 1].matched < got[4, 1].windows
     kept = without_leaks(table, items)
