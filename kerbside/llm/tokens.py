@@ -13,6 +13,7 @@ from collections.abc import Callable
 from functools import cache
 
 import tiktoken
+import tokenizers
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -34,10 +35,27 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+@cache
+def _tokenizer(path: str) -> tokenizers.Tokenizer:
+    return tokenizers.Tokenizer.from_file(path)
+
+
 def ids_of(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit bytes."""
-    encode, special = encoding(path).encode, "all"
-    return lambda text: _little(array("I", encode(text, allowed_special=special)))
+    """A function from a text to its ids as little-endian unsigned 32-bit bytes.
+
+    ``tiktoken`` gives up on texts with a very long run of white space, as its pattern goes back over the
+    whole run; such texts go to ``tokenizers``.
+    """
+    encode = encoding(path).encode
+
+    def ids(text: str) -> bytes:
+        try:
+            found = encode(text, allowed_special="all")
+        except ValueError:
+            found = _tokenizer(path).encode(text, add_special_tokens=False).ids
+        return _little(array("I", found))
+
+    return ids
 
 
 def _little(ids: array) -> bytes:

@@ -28,6 +28,13 @@ def test_ids_equal_the_tokenizers_library(spark, tokenizer):
         assert encode(text) == want
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \t\r\n"])
+def test_ids_of_a_million_blanks(tokenizer, blank):
+    text = "start" + blank * (1_000_000 // len(blank)) + "end <|endoftext|>"
+    want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert ids_of(vocabulary())(text) == want
+
+
 def check(rows, out, tokenizer, length):
     want = []
     for doc_id, text in rows:
