@@ -43,6 +43,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The setting, and its value in a session that leaves it alone.
+_BATCH, _UNSET = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def limit_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """From now on hand rows to Python in batches of at most ``size`` bytes, unless the session has its own setting.
+
+    Rows with whole texts are large; Spark's default of 64 MB is held several times over by the JVM and by Python,
+    in every task of an executor. A frame that is executed later needs the setting then, so it is not put back.
+    """
+    if spark.conf.get(_BATCH) == _UNSET:
+        spark.conf.set(_BATCH, f"{size}b")
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
     """Inside, what is executed hands rows to Python in batches of at most ``size`` bytes.

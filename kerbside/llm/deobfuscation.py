@@ -33,8 +33,8 @@ DISGUISES = {
 SWAPPED, KEPT, REPEATED, DOUBLED, APART = 1.0, 2.0, 2.0, 6.0, 0.5
 #: Marks that are no punctuation seldom mean themselves beside a letter.
 ODD, KEPT_ODD = "$@", 4.0
-#: Decoded stretches that a worker remembers, over all its tasks with one model.
-CACHED = 200_000
+#: Decoded stretches that a worker remembers, over all its tasks with one model: a few megabytes.
+CACHED = 20_000
 #: Weight of the shorter context in the model.
 BACK = 5.0
 
@@ -42,12 +42,14 @@ _MARKS = re.escape("".join(DISGUISES))
 #: A mark beside a letter: the stretch of letters and marks around it is in doubt.
 _LEET_CORE = re.compile(rf"[{_MARKS}](?:(?<=[A-Za-z].)|(?=[A-Za-z]))")
 _LEET_RUN = re.compile(rf"[A-Za-z{_MARKS}]+")
-_JUNK_END = re.compile(r"([^A-Za-z0-9])\1{2,}$")
-#: One letter or mark, up to ten times, between separators, however many and of whatever kind.
+#: One letter or mark, however often, between separators, however many and of whatever kind. A start behind the same
+#: character is not tried, nor are runs given back, so the work is linear in the text.
 _APART = re.compile(
-    rf"(?<![^\W_])(?:([A-Za-z{_MARKS}])\1{{0,9}}[ .\-_*]+){{2,}}([A-Za-z{_MARKS}])\2{{0,9}}(?![^\W_])", re.IGNORECASE
+    rf"(?<![^\W_])(?:(?<=(.))(?!\1)|(?<!.))(?:([A-Za-z{_MARKS}])\2*+[ .\-_*]++){{2,}}([A-Za-z{_MARKS}])\3*+(?![^\W_])",
+    re.IGNORECASE | re.DOTALL,
 )
-_REPEAT = re.compile(r"[A-Za-z]*([A-Za-z])\1\1[A-Za-z]*", re.IGNORECASE)
+_TRIPLE = re.compile(r"([A-Za-z])\1\1", re.IGNORECASE)
+_LETTERS = re.compile(r"[A-Za-z]+")
 
 
 def _codes() -> np.ndarray:
@@ -167,9 +169,11 @@ class Restorer:
 
     def _meant(self, text: str) -> str:
         text = text.lower()
-        junk = _JUNK_END.search(text)
-        tail = junk.group() if junk else ""
-        text = text[: len(text) - len(tail)]
+        tail = ""
+        if text and not (text[-1].isascii() and text[-1].isalnum()):
+            bare = text.rstrip(text[-1])
+            if len(text) - len(bare) >= 3:
+                text, tail = bare, text[len(bare) :]
         if not text:
             return tail
         found = self.known.get(text)
@@ -182,24 +186,26 @@ class Restorer:
     def restore(self, text: str) -> str:
         """The text with every suspicious stretch as it is most likely meant; the rest as it is."""
         text = _APART.sub(self._restored, text)
-        text = self._without_leet(text)
-        return _REPEAT.sub(self._restored, text)
+        text = self._widened(text, _LEET_CORE, _LEET_RUN, _RUN)
+        return self._widened(text, _TRIPLE, _LETTERS, _ALPHABET)
 
-    def _without_leet(self, text: str) -> str:
+    def _widened(self, text: str, core: re.Pattern, stretch: re.Pattern, inside: frozenset[str]) -> str:
+        """The text with each stretch that holds a match of ``core`` as it is meant; every stretch is walked once."""
         out, done = [], 0
-        for core in _LEET_CORE.finditer(text):
-            first = core.start()
+        for found in core.finditer(text):
+            first = found.start()
             if first < done:
                 continue
-            while first > done and (text[first - 1] in _RUN):
+            while first > done and text[first - 1] in inside:
                 first -= 1
-            run = _LEET_RUN.match(text, first)
+            run = stretch.match(text, first)
             out += (text[done:first], self._meant(run.group()))
             done = run.end()
         return "".join(out) + text[done:] if out else text
 
 
-_RUN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ").union(DISGUISES)
+_ALPHABET = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_RUN = _ALPHABET.union(DISGUISES)
 
 
 def _flags() -> tuple[np.ndarray, ...]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import pick
+from kerbside.llm.common import limit_batches, pick
 from kerbside.llm.tokens import ids_of
 
 LENGTH = 1024
@@ -131,6 +131,7 @@ def pack(
     looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text")
+    limit_batches(docs.sparkSession)
     tasks = max(1, -(-docs.count() // rows))
     pieces = docs.mapInArrow(_tokenized(path, length, end), PIECES)
     order = F.xxhash64("doc_id", "piece", "ids_crc32")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import pick
+from kerbside.llm.common import limit_batches, pick
 from kerbside.llm.extensions import Extensions
 
 #: A run has at least so many words, and at least so many periods.
@@ -149,6 +149,7 @@ def periodic_runs(
     are rows of their own, a null id stays null, an empty table gives no rows; other columns are not looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text)
+    limit_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

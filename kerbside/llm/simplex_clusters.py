@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import pick, stored
+from kerbside.llm.common import limit_batches, pick, stored
 
 CLUSTERS, ROUNDS, SCALE, DIMENSIONS, SEED = 40, 5, 256, 64, "2"
 #: At most so many pivots, taken from the first centroids; each must rise above the base by this share of the first edge.
@@ -167,6 +167,7 @@ def cluster(
     """
     spark = rows.sparkSession
     kept = pick(rows, vec_id=vec_id, vector=embedding).where(usable(F.col("vector"), dimensions))
+    limit_batches(spark)
     kind = kept.schema["vec_id"].dataType.simpleString()
     element = kept.schema["vector"].dataType.simpleString()
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import pick, stored
+from kerbside.llm.common import limit_batches, pick, stored
 from kerbside.llm.deobfuscation import Restorer, gram_counts, log_model, suspicious
 from kerbside.llm.text_arrays import chunks
 
@@ -168,6 +168,7 @@ def corpus_model(texts: DataFrame) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """``docs``: (doc_id, text); ``labels``: (doc_id, toxic). Held-out rows teach nothing but characters."""
     spark = docs.sparkSession
+    limit_batches(spark)
     grams = corpus_model(docs)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))

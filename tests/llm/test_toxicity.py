@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +63,25 @@ def test_doubt_is_never_too_rare(restorer):
         assert flag or restorer.restore(text) == text
 
 
+def test_long_stretches_take_linear_time():
+    """Twice as long, about twice as slow: nothing is tried again from every character of a run."""
+    restorer = Restorer(np.zeros(GRAMS, np.float32))
+
+    def seconds(text):
+        restorer.known.clear()
+        begun = time.perf_counter()
+        restorer.restore(text)
+        return time.perf_counter() - begun
+
+    for part in ("abcdefghij", "!", "$", "a", "a ", "!.", "é", "=-", "a1", "aaab", ". "):
+        least = min(seconds(part * (50_000 // len(part))) for _ in range(2))
+        assert seconds(part * (200_000 // len(part))) < 12 * least + 0.2, part
+
+
+def test_any_number_of_equal_letters_apart(restorer):
+    assert restorer.restore("an " + "i" * 15 + " d i o t here") == "an idiot here"
+
+
 def auc(score, label):
     order = np.argsort(np.argsort(score)) + 1.0
     ones = label == 1
