@@ -6,17 +6,17 @@ _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP1 = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-    SELECT a.vec_id AS query_id, b.vec_id,
+    SELECT a.r, a.vec_id AS query_id, b.vec_id,
            CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
-    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    FROM usable a JOIN usable b ON a.r <> b.r
     WHERE a.vec_id % 100 = 0),
 ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
            vec_id, score
     FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

@@ -45,10 +45,10 @@ def _as_doubles(values: np.ndarray) -> np.ndarray:
     return np.array(rows, np.float64)
 
 
-def whole(vectors: np.ndarray, scale: int) -> np.ndarray:
+def whole(vectors: np.ndarray, scale: int, limit: int = LIMIT) -> np.ndarray:
     """floor(scale * x), exactly: 64-bit integers, or Python integers where a component is large."""
     floats = _scaled(vectors, scale)
-    if not floats.size or np.abs(floats).max() < LIMIT:
+    if not floats.size or np.abs(floats).max() < limit:
         return floats.astype(np.int64)
     rows = [
         [int(y) if np.isfinite(y) else int(x) * scale for x, y in zip(*pair)]
