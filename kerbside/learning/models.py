@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from operator import add
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException, IllegalArgumentException
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import (
+    GBTRegressor,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import split
@@ -182,35 +191,79 @@ def train_demand(df: DataFrame) -> tuple[PipelineModel, DataFrame]:
     return model, found
 
 
+def _fold(key: Sequence[str] | None, folds: int, df: DataFrame) -> Column:
+    """The fold of a row, from a hash of its key."""
+    return F.pmod(F.xxhash64(F.lit("fold"), *(key or df.columns)), F.lit(folds))
+
+
+def _prefix_errors(model: RandomForestRegressionModel, ready: DataFrame, sizes: Sequence[int]) -> dict[int, float]:
+    """RMSE of the first n trees of a forest for each n, from one pass over the rows.
+
+    A forest's prediction is the mean of its trees, and its trees are drawn alike and independently, so its
+    first n trees are a forest of n trees.
+    """
+    rows = ready
+    for at, tree in enumerate(model.trees):
+        rows = tree.copy().setPredictionCol(f"tree_{at}").transform(rows)
+    errors = {}
+    for size in sizes:
+        mean = reduce(add, (F.col(f"tree_{at}") for at in range(size))) / size
+        errors[str(size)] = F.sqrt(F.avg((mean - F.col("fare")) ** 2))
+    found = rows.agg(*(error.alias(size) for size, error in errors.items())).first()
+    return {int(size): found[size] for size in errors}
+
+
 def tune_fare(
     df: DataFrame,
     grid: Mapping[str, Sequence] | None = None,
     folds: int = TUNE_FOLDS,
     parallelism: int = 4,
     key: Sequence[str] | None = None,
-) -> tuple[Model, DataFrame]:
-    """Cross-validated grid search for the fare forest; the best model and the RMSE of each setting."""
+) -> tuple[PipelineModel, DataFrame]:
+    """Cross-validated grid search for the fare forest; the best model and the RMSE of each setting.
+
+    Features are fitted once per fold, on the rows outside it, and the rows with their vectors are kept while
+    the settings of that fold are trained, ``parallelism`` at a time. Settings that differ in ``numTrees`` only
+    share one forest (``_prefix_errors``). RMSE is the mean over the folds; the best setting, of equal ones the
+    first, is trained again on all training rows. ``key`` names columns that identify a row, as in ``train_fare``.
+    """
+    grid = dict(grid or TUNE_GRID)
+    sizes = grid.pop("numTrees")
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
     train, _ = _split(df, key)
-    forest = RandomForestRegressor(labelCol="fare", seed=SEED)
-    settings = ParamGridBuilder()
-    for name, values in (grid or TUNE_GRID).items():
-        settings = settings.addGrid(forest.getParam(name), list(values))
-    maps = settings.build()
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol="fare", metricName="rmse"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    with kept(features().fit(train).transform(train).select("features", "fare")) as (ready,):
-        found = search.fit(ready)
+    errors: dict[tuple[int, int], list[float]] = defaultdict(list)
+
+    def forest(**params) -> RandomForestRegressor:
+        return RandomForestRegressor(labelCol="fare", predictionCol=FARE, seed=SEED, **params)
+
+    numbered = train.withColumn("fold", _fold(key, folds, train))
+    for fold in range(folds):
+        inside, outside = numbered.where(F.col("fold") != fold), numbered.where(F.col("fold") == fold)
+        prepared = features().fit(inside)
+        slim = (prepared.transform(part).select("features", "fare") for part in (inside, outside))
+        with kept(*slim) as (ready, held_out), ThreadPool(parallelism) as pool:
+
+            def fitted(setting: dict) -> dict[int, float]:
+                model = forest(numTrees=max(sizes), **setting).fit(ready)
+                return _prefix_errors(model, held_out, sizes)
+
+            run = inheritable_thread_target(df.sparkSession)(fitted)
+            for at, found in enumerate(pool.map(run, settings, chunksize=1)):
+                for size, error in found.items():
+                    errors[size, at].append(error)
+    mean = {place: sum(values) / folds for place, values in errors.items()}
+    names = {
+        (size, at): {"numTrees": size, **setting} for size in sizes for at, setting in enumerate(settings)
+    }
+    best = names[min(names, key=lambda place: mean[place])]
+    prepared = features().fit(train)
+    with kept(prepared.transform(train).select("features", "fare")) as (ready,):
+        model = forest(**best).fit(ready)
     rows = [
-        (", ".join(f"{param.name}={value}" for param, value in setting.items()), "rmse", float(score))
-        for setting, score in zip(maps, found.avgMetrics)
+        (", ".join(f"{name}={value}" for name, value in setting.items()), "rmse", float(mean[place]))
+        for place, setting in names.items()
     ]
-    return found.bestModel, df.sparkSession.createDataFrame(rows, METRICS)
+    return PipelineModel([*prepared.stages, model]), df.sparkSession.createDataFrame(rows, METRICS)
 
 
 def load_models(spark: SparkSession, folder: str, names: Sequence[str] = MODEL_NAMES) -> dict[str, PipelineModel]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,11 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), digits
             raise ValueError(f"query {name} is registered twice")
         steady = ", ".join(f"{half_up(column, places)} AS {column}" for column, places in (digits or {}).items())
         whole = f"SELECT * REPLACE ({steady}) FROM ({sql})" if sql and steady else sql
-        rounded = lambda t: run(t).withColumns({c: F.round(c, places) for c, places in (digits or {}).items()})
+
+        @wraps(run)
+        def rounded(t: Tables) -> DataFrame:
+            return run(t).withColumns({c: F.round(c, places) for c, places in (digits or {}).items()})
+
         QUERIES[name] = Query(rounded if digits else run, with_views(whole, *views) if whole else None)
         return run
 

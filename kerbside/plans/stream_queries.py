@@ -32,8 +32,9 @@ from kerbside.sources import files
 from kerbside.sources.dimensions import load_datasets
 from kerbside.streaming import sinks
 from kerbside.streaming.jobs import booking_reports, tweet_job
+from kerbside.streaming.late import late_rows
 from kerbside.streaming.runtime import StreamSpec, finish_all, query_status, start_all, state_rows, stop_all
-from kerbside.streaming.state import district_state
+from kerbside.streaming.state import district_state, on_rocksdb
 
 NOW = "available_now"
 
@@ -341,7 +342,9 @@ def _(t):
     digits={"revenue": 4},
 )
 def _(t):
-    return update(district_state(stream_tables(t).trips_events), "pickup_district")
+    trips = stream_tables(t).trips_events
+    on_rocksdb(trips.sparkSession)
+    return update(district_state(trips), "pickup_district")
 
 
 # --- triggers, late rows and kept state ------------------------------------------------------
@@ -432,6 +435,26 @@ def _(t):
     return sinks.read_batches(session, f"{path}/out", report.schema.add(sinks.BATCH, "long")).drop(sinks.BATCH)
 
 
+@query(
+    "tm_late_rows",
+    f"SELECT trip_id, event_timestamp, pickup_district FROM {windows('trips_events', 'event_timestamp', 3600)} "
+    f"WHERE NOT ({_ON_TIME}) AND window_end <= {_FIRST_MARK}",
+    ("trips_events",),
+)
+def _(t):
+    """The trips that ``tm_late_drop`` does not count, row by row."""
+    path = scratch_path(t.spark, "late-rows")
+    trips = t.trips_events.select("trip_id", "event_timestamp", "pickup_district", "is_late_data")
+    session = on_rocksdb(stream_session(t.spark, STATE_PARTITIONS))
+    late = F.col("is_late_data").isNotNull()
+    for part in (~late, late):
+        trips.filter(part).write.mode("append").parquet(f"{path}/in")
+        arriving = session.readStream.schema(trips.schema).parquet(f"{path}/in")
+        found = late_rows(arriving, "event_timestamp", "2 hours", "1 hour", spread_by=["trip_id"], parts=STATE_PARTITIONS)
+        sinks.to_files(found, "parquet", f"{path}/out", f"{path}/checkpoint", NOW).awaitTermination()
+    return session.read.schema(found.schema).parquet(f"{path}/out").select("trip_id", "event_timestamp", "pickup_district")
+
+
 @query(
     "tm_state_keep",
     "SELECT 'kept' AS state, count(*) AS rows FROM (SELECT 1 FROM "

@@ -49,7 +49,8 @@ class LateRows(StreamingQueryListener):
 
     Register it with the session of the queries before they start:
     ``df.sparkSession.streams.addListener(late)``. Each task combines its
-    rows before they meet the watermark, so this counts combined rows, not rows. Progress arrives
+    rows before they meet the watermark, so this counts combined rows, not rows; ``late.late_rows`` gives the rows
+    themselves. Spark drops by the watermark of the batch before. Progress arrives
     shortly after a batch; a query's ``lastProgress`` tells its last batch, ``seen`` what has arrived.
     """
 

@@ -103,7 +103,9 @@ def test_tuning_reports_every_setting(samples):
     best, found = P.tune_fare(small, {"numTrees": (3, 6), "maxDepth": (2, 4)}, folds=2, key=KEY)
     scores = {r.model: r.value for r in found.collect()}
     assert len(scores) == 4
-    assert f"maxDepth={best.getMaxDepth()}" in min(scores, key=scores.get)
+    forest = best.stages[-1]
+    assert min(scores, key=scores.get) == f"numTrees={forest.getNumTrees}, maxDepth={forest.getMaxDepth()}"
+    assert P.FARE in best.transform(small.limit(3)).columns
     assert {name: len(entries) for name, entries in P.TUNE_GRID.items()} == {
         "numTrees": 3, "maxDepth": 3, "minInstancesPerNode": 3
     }

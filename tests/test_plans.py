@@ -7,14 +7,14 @@ import pytest
 import __spark_entry__ as entry
 from kerbside.operators import series_windows as S
 from kerbside.operators.quality import rules as R
-from kerbside.plans.catalog import QUERIES
+from kerbside.plans import all_queries
 from kerbside.plans.tables import Tables
 
 SMALL = "/root/testdata/sf0.001"
 LAZY = [
     name
-    for name in sorted(entry.oracle_sql())
-    if not QUERIES[name].run.__module__.endswith(("stream_queries", "learning_queries"))
+    for name, query in sorted(all_queries().items())
+    if query.sql and not query.run.__module__.endswith(("stream_queries", "learning_queries"))
 ]
 
 
