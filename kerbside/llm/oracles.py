@@ -85,19 +85,41 @@ parted AS (
     FROM pages),
 named AS (SELECT page_id, html, host, path, host || path || query AS address FROM parted),
 tags AS (
-    SELECT address, unnest(regexp_extract_all(coalesce(html, ''), '(?i)<(?:link|meta)\b[^>]*>')) AS tag FROM named),
+    SELECT address, host, path, unnest(regexp_extract_all(coalesce(html, ''), '(?i)<(?:link|meta)\b[^>]*>')) AS tag
+    FROM named WHERE address <> ''),
 targets AS (
-    SELECT address, unnest(CASE
+    SELECT address, host, path, unnest(CASE
         WHEN regexp_matches(tag, '(?i)^<link\b.*\brel\s*=\s*["'']?canonical\b')
             THEN regexp_extract_all(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
         WHEN regexp_matches(tag, '(?i)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
             THEN regexp_extract_all(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)
         ELSE [] END) AS link
     FROM tags),
+decoded AS (
+    SELECT address, host, path, regexp_extract(regexp_replace(link, '&(?:amp|#38|#x26);', '&', 'gi'), '^[^#]*') AS link
+    FROM targets),
+-- Relative links as if they were absolute, by the page's host and folder.
+spelled AS (
+    SELECT address, host, link, CASE
+        WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN NULL
+        WHEN starts_with(link, '//') THEN NULL
+        WHEN starts_with(link, '/') THEN regexp_extract(link, '^[^?]*')
+        WHEN starts_with(link, '?') THEN NULL
+        ELSE CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END
+             || regexp_extract(link, '^[^?]*') END AS raw,
+        CASE WHEN starts_with(link, '?') THEN path END AS same
+    FROM decoded
+    WHERE link <> '' AND (NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') OR regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://'))),
 one_way AS (
-    SELECT address AS a, translate(regexp_extract(link, '^.*?://([^/?#]*)', 1), {_AZ})
-        || regexp_extract(link, '^.*?://[^/?#]*([^#]*)', 1) AS b
-    FROM targets WHERE contains(link, '://') AND address <> ''),
+    SELECT address AS a, CASE
+        WHEN raw IS NOT NULL THEN host || CASE WHEN regexp_matches(raw, '/\.\.?(/|$)') THEN
+            list_reduce(list_concat([''], string_split(raw, '/')[2:]), lambda done, part: CASE
+                WHEN part = '..' THEN regexp_replace(done, '/[^/]*$', '') WHEN part = '.' THEN done ELSE done || '/' || part END)
+            || CASE WHEN regexp_matches(raw, '/\.\.?$') THEN '/' ELSE '' END ELSE raw END || regexp_extract(link, '\?.*$')
+        WHEN same IS NOT NULL THEN host || same || link
+        ELSE translate(regexp_extract(link, '^(?:[^/?#]*?:)?//([^/?#]*)', 1), {_AZ})
+            || regexp_extract(link, '^(?:[^/?#]*?:)?//[^/?#]*([^#]*)', 1) END AS b
+    FROM spelled),
 links AS (SELECT a, b FROM one_way WHERE b <> '' UNION SELECT b, a FROM one_way WHERE b <> ''),
 reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 places AS (

@@ -2,7 +2,7 @@
 
 Native. Three fixed patterns give the base spans. A wider pattern gives candidates: long mixed tokens.
 For the value of every span the corpus is asked how many owners and repositories hold it: a value that
-many copied is an example; a candidate that one owner alone has looks live and becomes a span as well.
+many copied is an example; a candidate that is none looks live and becomes a span as well.
 Only 128-bit hashes of the values leave the scan.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import pick, stored
+from kerbside.llm.spans import matches, with_crossed
 
 # Fixed patterns of the base spans.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -29,34 +30,21 @@ _SPAN = "struct<start:int,rank:int,kind:string,end:int,one:bigint,two:bigint>"
 
 
 def _spans(text: Column, pattern: str, kind: str, group: int = 0, kept=None) -> Column:
-    """Leftmost non-overlapping matches with their places in code points.
+    """Leftmost non-overlapping matches with their places in code points, and two hashes of the value."""
 
-    Places come from the lengths of what lies between the matches and of the matches themselves.
-    """
-    whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-    values = F.regexp_extract_all(text, F.lit(pattern), group) if group else whole
-    gaps = F.slice(F.split(text, pattern), 1, F.size(whole))
-    rows = F.arrays_zip(whole.alias("whole"), values.alias("value"), gaps.alias("gap"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
-
-    def step(state: Column, row: Column) -> Column:
-        first = state["at"] + F.length(row["gap"])
-        end = first + F.length(row["whole"])
+    def entry(start: Column, end: Column, match: Column, before: Column, after: Column) -> Column:
+        value = F.regexp_extract(match, pattern, group) if group else match
         span = F.struct(
-            first.alias("start"),
+            start.alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
             F.lit(kind).alias("kind"),
             end.alias("end"),
-            F.xxhash64(row["value"]).alias("one"),
-            F.xxhash64(F.lit(1), row["value"]).alias("two"),
+            F.xxhash64(value).alias("one"),
+            F.xxhash64(F.lit(1), value).alias("two"),
         )
-        spans = F.concat(state["spans"], F.array(span))
-        if kept:
-            spans = F.when(kept(row["value"]), spans).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+        return F.when(kept(value), span) if kept else span
 
-    found = F.aggregate(rows, start, step, lambda state: state["spans"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    return F.array_compact(matches(text, pattern, entry)).cast(f"array<{_SPAN}>")
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -84,27 +72,26 @@ def scan(
     owner: str = "source",
     repository: str = "lang",
 ) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_generic, n_copied, base_sha256, spans), one row per row.
-
-    Base spans always stay. ``n_generic`` counts the candidates that were added: tokens of 20 and more
-    characters with both cases and digits, outside base spans, with one owner in the whole corpus.
-    ``n_copied`` counts the spans (candidates too) whose value is a widely copied example: at least 3
-    owners or 5 repositories have it. A repository is a value of ``repository`` within an owner.
-
-    A null text counts as empty; a document without spans has empty ``spans`` and the digest of the
-    empty string. A null owner or repository counts as the empty one. Repeated
-    rows are rows of their own; they add no owner. Texts are read whole. An empty table gives no rows.
-    Other columns are not looked at.
+    """(doc_id, n_assign, n_access, n_hex, n_generic, n_copied, base_sha256, spans, classes), one row per row.
+
+    Base spans always stay. Candidates are tokens of 20 and more characters with both cases and digits, outside base
+    spans. Every value is of one of two classes: copied, a widely copied example, if at least 3 owners or 5
+    repositories of the corpus have it, else live. Live candidates are added to ``spans`` (``n_generic`` of them);
+    ``n_copied`` counts the copied base spans and candidates. ``classes`` lists all base spans and candidates as
+    kind:start:end:class, in the order of ``spans``. A repository is a value of ``repository`` within an owner, so
+    copies within one repository say nothing.
+
+    A null text counts as empty; a document without spans has empty ``spans`` and ``classes`` and the digest of the
+    empty string. A null owner or repository counts as the empty one. Repeated rows are rows of their own; they add no
+    owner. Texts are read whole, in time n log n in their matches. An empty table gives no rows. Other columns are
+    not looked at.
     """
     docs = pick(docs, doc_id=doc_id, text=text, owner=owner, repository=repository)
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     found = docs.select("doc_id", "owner", "repository", "text", F.monotonically_increasing_id().alias("uid"))
     found = found.withColumns(base_spans(F.col("text")))
     found = found.withColumn("generic", _spans(F.col("text"), TOKEN, "generic", 0, _mixed)).drop("text")
-    found = found.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    apart = F.filter(
-        "generic", lambda g: ~F.exists("base", lambda b: (b["start"] < g["end"]) & (g["start"] < b["end"]))
-    )
+    base = F.array_sort(F.concat("assign", "access", "hex"))
     found = stored(
         found.select(
             "uid",
@@ -112,14 +99,16 @@ def scan(
             "owner",
             "repository",
             *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS[:3]),
-            "base",
-            apart.alias("generic"),
+            base.alias("base"),
+            "generic",
         ),
         "spans",
     )
-    spans = found.select("uid", "owner", "repository", F.explode(F.concat("base", "generic")).alias("span"))
     owner, repository = (F.coalesce(name, F.lit("")).alias(name) for name in ("owner", "repository"))
-    spans = spans.select("uid", owner, repository, "span", "span.one", "span.two")
+    spans = found.select("uid", owner, repository, F.inline(F.concat("base", "generic")))
+    is_base = F.col("kind") != "generic"
+    spans = with_crossed(spans, is_base).where(is_base | ~F.col("crossed")).drop("crossed")
+    spans = stored(spans, "candidates")
     holders = spans.select("one", "two", "owner", "repository").distinct()
     spread = stored(
         holders.groupBy("one", "two").agg(
@@ -128,19 +117,24 @@ def scan(
         "ownership",
     )
     copied = (F.col("owners") >= COPIED_OWNERS) | (F.col("repositories") >= COPIED_REPOSITORIES)
-    judged = spans.join(spread, ["one", "two"]).groupBy("uid").agg(
-        F.collect_list(F.when((F.col("span.kind") == "generic") & (F.col("owners") == 1), F.col("span"))).alias("added"),
-        F.count(F.when(copied, 1)).alias("n_copied"),
-    )
+    judged = spans.join(spread, ["one", "two"]).withColumn("copied", copied)
+    place = F.struct("start", "rank", "kind", "end", "copied")
+    judged = judged.groupBy("uid").agg(F.collect_list(place).alias("all"), F.count(F.when(F.col("copied"), 1)).alias("n_copied"))
     out = found.join(judged, "uid", "left")
-    added = F.coalesce("added", F.array().cast(f"array<{_SPAN}>"))
+    every = F.coalesce("all", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,copied:boolean>>"))
+    live = F.filter(every, lambda s: (s["kind"] != "generic") | ~s["copied"])
+    named = F.transform(
+        F.array_sort(every),
+        lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"], F.when(s["copied"], "copied").otherwise("live")),
+    )
     return out.select(
         "doc_id",
         "n_assign",
         "n_access",
         "n_hex",
-        F.size(added).cast("long").alias("n_generic"),
+        F.size(F.filter(live, lambda s: s["kind"] == "generic")).cast("long").alias("n_generic"),
         F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
         F.sha2(spelled(F.col("base")), 256).alias("base_sha256"),
-        spelled(F.concat("base", added)).alias("spans"),
+        spelled(live).alias("spans"),
+        F.array_join(named, ",").alias("classes"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,17 @@ def matches(text: Column, pattern: str, entry: Callable[[Column, Column, Column,
     )
     filled = bound(pieces, lambda both: found(both["whole"], both["parts"]))
     return F.coalesce(F.when(F.regexp_like(text, F.lit(pattern)), filled), F.slice(filled, 1, 0))
+
+
+def with_crossed(rows: DataFrame, base: Column, by: str = "uid") -> DataFrame:
+    """The rows with ``crossed``: whether another row of the same text that is ``base`` overlaps its (start, end).
+
+    Two sorted passes: what began before and reaches in, and what begins before its end.
+    """
+    limits = (Window.unboundedPreceding, -1)
+    forth = Window.partitionBy(by).orderBy("start", base.desc(), "end").rowsBetween(*limits)
+    back = Window.partitionBy(by).orderBy(F.col("start").desc(), base, "end").rowsBetween(*limits)
+    reach = F.max(F.when(base, F.col("end"))).over(forth)
+    begin = F.min(F.when(base, F.col("start"))).over(back)
+    crossed = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(begin < F.col("end"), F.lit(False))
+    return rows.withColumn("crossed", crossed)

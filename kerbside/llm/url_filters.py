@@ -64,13 +64,47 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def _without_dots(path: Column) -> Column:
+    """The path with "." and ".." taken as in RFC 3986; those at the end leave a slash."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.regexp_replace(done, "/[^/]*$", "")
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.lit("/"), part))
+
+    walked = F.aggregate(F.slice(parts, 2, F.size(parts)), F.lit(""), step)
+    walked = F.when(path.rlike(r"/\.\.?$"), F.concat(walked, F.lit("/"))).otherwise(walked)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), walked).otherwise(path)
+
+
+def target_of(link: Column, host: Column, path: Column) -> Column:
+    """The address that a link of a page means, or null: absolute, or relative to scheme, host, folder or page.
+
+    ``&amp;`` stands for ``&``. Links with another scheme than ``scheme://``, empty ones and fragments mean nothing.
+    """
+    link = F.regexp_replace(F.regexp_replace(link, r"(?i)&(?:amp|#38|#x26);", "&"), "#.*$", "")
+    bare = F.regexp_extract(link, r"^[^?]*", 0)
+    query = F.regexp_extract(link, r"\?.*$", 0)
+    folder = F.regexp_replace(path, "[^/]*$", "")
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    return (
+        F.when(link == "", F.lit(None).cast("string"))
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), address_of(link))
+        .when(link.startswith("//"), address_of(F.concat(F.lit("x:"), link)))
+        .when(link.startswith("/"), F.concat(host, _without_dots(bare), query))
+        .when(link.startswith("?"), F.concat(host, path, query))
+        .when(~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(host, _without_dots(F.concat(folder, bare)), query))
+    )
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(address, target): redirects and canonical links with an absolute target, from ``url`` and ``html``."""
+    """(address, target): redirects and canonical links of pages with an address, from ``host``, ``path`` and ``html``."""
     found = F.array_union(
         F.regexp_extract_all("html", F.lit(_CANONICAL), 1), F.regexp_extract_all("html", F.lit(_REFRESH), 1)
     )
-    links = pages.select("address", F.explode(found).alias("link")).where(F.col("link").contains("://"))
-    return links.select("address", address_of(F.col("link")).alias("target")).where("address != '' and target != ''")
+    links = pages.where("address != ''").select("address", "host", "path", F.explode(found).alias("link"))
+    links = links.select("address", target_of(F.col("link"), F.col("host"), F.col("path")).alias("target"))
+    return links.where("target != ''")
 
 
 def judge_pages(
@@ -85,7 +119,8 @@ def judge_pages(
     A page that a rule fits has that rule's verdict: an explicit allow is never overruled by an alias.
     A page without a rule is blocked if its alias group holds an address that a rule blocks and none
     that a rule allows (allow has precedence), else allowed. ``aliased`` tells whether the page has an
-    alias. Targets that are not pages themselves belong to the group, with the rule that fits them.
+    alias. Targets that are not pages themselves belong to the group, with the rule that fits them; relative
+    targets are taken from the page's own url (a ``base`` tag is not looked at).
 
     A null url, or one without ``://``, has an empty host and path, no rule and no alias; null or empty
     html has no links. Repeated rows are judged alike. An empty table gives no rows. Texts are read
