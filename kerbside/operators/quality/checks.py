@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,12 +100,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def uniqueness(df: DataFrame, columns: Sequence[str], threshold: float = UNIQUE_FROM) -> DataFrame:
-    """Distinct share per declared column; below the threshold it is critical."""
+    """Distinct share per declared column; below the threshold it is critical. One pass: values count the rows as well."""
     present = [name for name in columns if name in df.columns]
-    totals = run_fold(df, Fold(row_count(), [row(column=text(name), total_count=TOTAL) for name in present]))
-    counted = totals.join(distinct_counts(df, present), "column", "left").selectExpr(
-        "column", "coalesce(distinct_count, 0L) AS distinct_count", "total_count"
-    )
+    counts = value_counts(df, present).groupBy("column")
+    counts = counts.agg(F.count(F.lit(1)).alias("distinct_count"), F.sum("n").alias("total_count"))
+    listed = df.sparkSession.createDataFrame([(name,) for name in present], "column string")
+    counted = listed.join(counts, "column", "left").fillna(0, ["distinct_count", "total_count"])
     return counted.selectExpr(
         "*",
         "try_divide(distinct_count, total_count) AS uniqueness_rate",
@@ -177,17 +179,78 @@ def quartile_sketches(names: Sequence[str], rel_err: float) -> list[str]:
     return [f"percentile_approx(cast({quoted(name)} as double), array(0.25, 0.5, 0.75), {accuracy})" for name in names]
 
 
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float] = (0.25, 0.5, 0.75), buckets: int = 4096
+) -> dict[str, list[float] | None]:
+    """For each column the smallest value with at least that share of the values at or below it; nulls and NaN aside.
+
+    Selection by narrowing: every pass counts the values between two bounds in ``buckets`` equal parts, for all columns
+    and shares at once, and goes on with the smallest and largest value of the part that holds the wanted one,
+    until these are equal. Tasks send counts of parts only, whatever the number of rows, and no value list or sort is
+    needed; evenly spread values take two or three passes. A column without values gives None.
+    """
+    values = df.select(*(F.nullif(F.col(quoted(name)).cast("double"), F.lit(float("nan"))).alias(f"c{at}") for at, name in enumerate(columns)))
+    facts = [f(f"c{at}").alias(f"{kind}{at}") for at in range(len(columns)) for kind, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    first = values.agg(*facts).first()
+    # (column, share) -> number below the bounds, wanted rank, bounds
+    open_ = {
+        (at, place): (0, max(1, math.ceil(share * first[f"n{at}"])), first[f"lo{at}"], first[f"hi{at}"])
+        for at in range(len(columns))
+        for place, share in enumerate(shares)
+        if first[f"n{at}"]
+    }
+    found = {}
+    while True:
+        found |= {key: lo for key, (_, _, lo, hi) in open_.items() if lo == hi}
+        open_ = {key: of for key, of in open_.items() if key not in found}
+        if not open_:
+            break
+        keys = sorted(open_)
+        parts = F.array(*(_part(F.col(f"c{key[0]}"), at, open_[key], buckets) for at, key in enumerate(keys)))
+        counted = values.select(F.inline(F.array_compact(parts))).groupBy("target", "part").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        )
+        upto = F.sum("n").over(Window.partitionBy("target").orderBy("part"))
+        wanted = F.element_at(F.array(*(F.lit(open_[key][1] - open_[key][0]) for key in keys)), F.col("target") + 1)
+        holding = counted.withColumn("upto", upto).where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
+        for row in holding.collect():
+            below, rank, _, _ = open_[keys[row.target]]
+            open_[keys[row.target]] = (below + row.upto - row.n, rank, row.lo, row.hi)
+    return {
+        name: [found[at, place] for place in range(len(shares))] if first[f"n{at}"] else None for at, name in enumerate(columns)
+    }
+
+
+def _part(value: Column, target: int, of: tuple[int, int, float, float], buckets: int) -> Column:
+    """(target, part, value) of a value between the bounds; halves keep the width of the whole range of doubles finite."""
+    low, high = (max(-sys.float_info.max, min(sys.float_info.max, bound)) for bound in of[2:])
+    share = (value / 2 - low / 2) / (high / 2 - low / 2) * buckets
+    part = F.greatest(F.lit(0), F.least(F.lit(buckets - 1), F.floor(share).cast("int")))
+    # The bounds have parts of their own: they may be infinite, and a part of few values next to one would not shrink.
+    part = F.when(value == of[2], -1).when(value == of[3], buckets).otherwise(part)
+    inside = value.between(F.lit(of[2]), F.lit(of[3]))
+    return F.when(inside, F.struct(F.lit(target).alias("target"), part.alias("part"), value.alias("value")))
+
+
 def outliers(
-    df: DataFrame, rel_err: float = 0.01, columns: Sequence[str] | None = None, quartiles: Column | None = None
+    df: DataFrame,
+    rel_err: float = 0.01,
+    columns: Sequence[str] | None = None,
+    quartiles: Column | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Quartiles and values beyond 1.5 times their distance, per numeric column.
 
     Two passes whatever the number of columns: one sketch pass for the quartiles (rank error
     ``rel_err``), one pass that counts against them. The quartiles reach the second pass as a scalar
     subquery, not through the driver or a join; ``quartiles`` (a struct of arrays c0, c1, ...) saves
-    the first pass. A column of nulls gives no row.
+    the first pass. ``exact`` selects them exactly instead (``exact_quantiles``), at once. A column of nulls gives no row.
     """
     names = list(columns) if columns else numeric_columns(df)
+    if exact:
+        known = exact_quantiles(df, names)
+        given = (F.lit(known[name]).cast("array<double>").alias(f"c{at}") for at, name in enumerate(names))
+        quartiles = F.struct(*given)
     if quartiles is None:
         listed = ", ".join(f"{sketch} AS c{place}" for place, sketch in enumerate(quartile_sketches(names, rel_err)))
         quartiles = df.selectExpr(f"struct({listed}) AS quartiles").scalar()
@@ -221,21 +284,25 @@ def outliers(
 NUMBER_FACTS = {"mean": "avg", "stddev": "stddev", "min": "min", "max": "max"}
 
 
-def profile_facts(df: DataFrame, rsd: float = 0.05) -> dict[str, str]:
-    """Nulls, number facts and a distinct sketch of every column."""
+def distinct_sketches(names: Sequence[str], rsd: float = 0.05) -> list[str]:
+    """One sketch per column; null is left out."""
+    return [f"approx_count_distinct({quoted(name)}, {rsd!r}D)" for name in names]
+
+
+def profile_facts(df: DataFrame) -> dict[str, str]:
+    """Nulls and number facts of every column."""
     facts, numeric = completeness_facts(df.columns), set(numeric_columns(df))
     for name in df.columns:
-        facts[f"{name}::distinct"] = f"approx_count_distinct({quoted(name)}, {rsd!r}D)"
         for key, function in NUMBER_FACTS.items() if name in numeric else ():
             facts[f"{name}::{key}"] = f"cast({function}({quoted(name)}) as double)"
     return facts
 
 
-def profile_values(name: str, numeric: bool) -> dict[str, str]:
-    """The numbers of a profile that come from ``profile_facts``."""
+def profile_values(name: str, numeric: bool, distinct: str) -> dict[str, str]:
+    """The numbers of a profile that come from ``profile_facts``, and the SQL of a sketch's estimate."""
     nulls = f"{TOTAL} - {fact(name, 'present')}"
     values = {"null_count": nulls, "null_percentage": f"try_divide({nulls}, {TOTAL}) * 100"}
-    values["distinct_estimate"] = f"{fact(name, 'distinct')} + CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END"
+    values["distinct_estimate"] = f"{distinct} + CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END"
     return values | ({key: fact(name, key) for key in NUMBER_FACTS} if numeric else {})
 
 

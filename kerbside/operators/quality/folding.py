@@ -43,12 +43,6 @@ def run_fold(df: DataFrame, fold: Fold, where: str | None = None, scalar: Column
     return rows.filter(where) if where else rows
 
 
-def run_held(df: DataFrame, facts: Mapping[str, str]) -> DataFrame:
-    """The one row of facts, computed now and held by the driver: a bounded number of small values."""
-    one_row = df.agg(*[F.expr(f"{sql} AS {quoted(name)}") for name, sql in facts.items()])
-    return df.sparkSession.createDataFrame([one_row.first()], one_row.schema)
-
-
 def row(**fields: str) -> str:
     """A result row from SQL text per field."""
     return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in fields.items()) + ")"

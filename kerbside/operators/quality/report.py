@@ -6,15 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import case, ratio
 from kerbside.operators.aggregates import numeric_columns
 from kerbside.operators.quality import checks as K
 from kerbside.operators.quality import rules as R
-from kerbside.operators.quality.folding import Fold, fact, item, metrics, run_held
-from kerbside.session import scratch_path
+from kerbside.operators.quality.folding import Fold, fact, item, metrics, run_fold
 
 COUNTED = ("completeness", "uniqueness", "ranges", "business_rules", "consistency")
 
@@ -50,15 +49,15 @@ ROW_RULES = {"drivers": R.driver_rules, "taxis": R.taxi_rules, "trips": R.trip_r
 
 
 def _fold(name: str, df: DataFrame, rules: TableRules) -> Fold:
-    """Profile, completeness, ranges, row rules and the row count of one table."""
+    """Profile, completeness, ranges, row rules and the row count of one table; reads the table's ``_sketches``."""
     row_rules = ROW_RULES[name]() if name in ROW_RULES else {}
     limits = {column: pair for column, pair in rules.ranges.items() if column in df.columns}
     facts = K.profile_facts(df) | K.range_facts(limits) | R.rule_facts(row_rules)
     numeric = set(numeric_columns(df))
     size = {"total_rows": K.TOTAL, "total_columns": str(len(df.columns))}
     rows = [item("profiling", "table", "'INFO'", size)]
-    for column in df.columns:
-        rows.append(item("profiling", column, "'INFO'", K.profile_values(column, column in numeric)))
+    for place, column in enumerate(df.columns):
+        rows.append(item("profiling", column, "'INFO'", K.profile_values(column, column in numeric, f"given.d{place}")))
         of = K.completeness_values(column, rules.required)
         numbers = {key: of[key] for key in ("null_count", "completeness_rate")}
         rows.append(item("completeness", column, of["status"], numbers, of["critical"]))
@@ -75,6 +74,17 @@ def _fold(name: str, df: DataFrame, rules: TableRules) -> Fold:
     return Fold(facts, rows)
 
 
+def _sketches(df: DataFrame, rel_err: float) -> Column:
+    """Quartiles of numeric columns (c0, c1, ...) and distinct counts of all (d0, d1, ...), from one pass.
+
+    A subquery: plain facts stay in a fold of generated code, and readers of the same table share one pass.
+    """
+    quartiles = K.quartile_sketches(numeric_columns(df), rel_err)
+    named = [f"{sql} AS c{at}" for at, sql in enumerate(quartiles)]
+    named += [f"{sql} AS d{at}" for at, sql in enumerate(K.distinct_sketches(df.columns))]
+    return df.selectExpr(f"struct({', '.join(named)}) AS sketches").scalar()
+
+
 def _report_rows(df: DataFrame, check: str, name: str, *numbers: str, critical: str = "false", warning: str = "false"):
     """Rows of a single check in the layout of the report."""
     return df.selectExpr(
@@ -92,42 +102,28 @@ def run_suite(
 ) -> DataFrame:
     """(dataset, check, item, status, critical, warning, metrics) rows of every check.
 
-    One pass per dataset, made at once, takes profile, completeness, ranges, rules and quartiles; its
-    one row of numbers is held. When the report is read, one more pass counts outliers, and one the
-    values of unique columns. Trips are counted per taxi and group size once, into the shared folder,
-    for the seats and the taxi references; passenger references read the trips' ids.
+    Nothing runs before the report is read. Per dataset, one pass takes sketches (quartiles, distinct counts), one the
+    plain facts of profile, completeness, ranges and rules, one counts outliers against the quartiles, and one the
+    values of unique columns. Trips are counted per taxi and group size for the seats and the taxi references;
+    passenger references read the trips' ids.
     """
     rules = RULES if rules is None else rules
     parts: list[tuple[str, DataFrame]] = []
     for name, df in datasets.items():
         of = rules.get(name, TableRules())
-        fold, numbers = _fold(name, df, of), numeric_columns(df)
-        sketches = {f"quartiles::{at}": sql for at, sql in enumerate(K.quartile_sketches(numbers, rel_err))}
-        held = run_held(df, fold.facts | sketches)
-        parts.append((name, held.selectExpr(f"inline(array({', '.join(fold.rows)}))").filter("status IS NOT NULL")))
+        numbers, sketches = numeric_columns(df), _sketches(df, rel_err)
+        parts.append((name, run_fold(df, _fold(name, df, of), "status IS NOT NULL", sketches)))
         unique = [column for column in of.unique if column in df.columns]
         if unique:
             of_key = ("distinct_count", "total_count", "uniqueness_rate", "duplicates")
             parts.append((name, _report_rows(K.uniqueness(df, unique), "uniqueness", "column", *of_key, critical="critical")))
         if numbers:
             of_column = ("q1", "median", "q3", "iqr", "outliers", "outlier_percentage")
-            known = held.first()
-            quartiles = F.struct(
-                *[
-                    F.lit(known[f"quartiles::{at}"]).cast("array<double>").alias(f"c{at}")
-                    if known[f"quartiles::{at}"] is not None
-                    else F.lit(None).cast("array<double>").alias(f"c{at}")
-                    for at in range(len(numbers))
-                ]
-            )
-            found = K.outliers(df, rel_err, numbers, quartiles)
+            found = K.outliers(df, rel_err, numbers, sketches)
             parts.append((name, _report_rows(found, "distribution", "column", *of_column, warning="warning")))
     by_taxi = dict(datasets)
     if {"trips", "taxis"} <= set(datasets):
-        groups = R.taxi_groups(datasets["trips"])
-        path = scratch_path(groups.sparkSession, "taxi-groups")
-        groups.write.parquet(path)
-        by_taxi["trips"] = groups.sparkSession.read.schema(groups.schema).parquet(path)
+        by_taxi["trips"] = R.taxi_groups(datasets["trips"])
         crowded = R.seats_of_groups(by_taxi["trips"], datasets["taxis"])
         parts.append(("trips", _report_rows(crowded, "business_rules", "rule", "violations")))
     for check, (table, _, master, _, _) in R.REFERENCES.items():
@@ -192,13 +188,14 @@ def recommend(summary_row: DataFrame) -> DataFrame:
 
 
 def monitoring(report: DataFrame) -> DataFrame:
-    """(metric, value) rows for monitoring: score, issues and the size of each dataset."""
+    """(metric, value) rows for monitoring: score, issues, the size of each dataset, and when (seconds since 1970)."""
     figures = {
         "data_quality_score": "pass_rate",
         "critical_issues": "critical_issues",
         "warnings": "warnings",
         "total_checks": "total_checks",
     }
+    figures["timestamp"] = "unix_millis(current_timestamp()) / 1000"
     totals = summary(report).selectExpr(f"explode({metrics(figures)}) AS (metric, value)")
     sizes = report.filter("check = 'profiling' AND item = 'table'").selectExpr(
         "explode(map(concat(dataset, '_row_count'), metrics['total_rows'], "

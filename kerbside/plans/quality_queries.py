@@ -217,11 +217,6 @@ def _outlier_sql(table: str, *columns: str) -> str:
 _MEASURED = ("DistanceTravelled", "TripDurationInSeconds", "TripFare", "NumberOfPassengers")
 
 
-@query("dq_outlier")
-def _(t):
-    return K.outliers(t.trips, columns=_MEASURED)
-
-
 @query(
     "dq_outlier_status",
     f"SELECT \"column\", status, warning FROM ({_outlier_sql('trips', *_MEASURED)})",
@@ -320,25 +315,54 @@ _NUMERIC = {
 }
 
 
+@query("dq_outlier", _outlier_sql("trips", *_NUMERIC["trips"]), ("trips",))
+def _(t):
+    return K.outliers(t.trips, exact=True)
+
+
+#: The numbers of each check that are exact; quartiles, outliers and distinct estimates are sketches.
+_EXACT = {
+    "profiling": ("total_rows", "total_columns", "null_count", "null_percentage", "mean", "stddev", "min", "max"),
+    "completeness": ("null_count", "completeness_rate"),
+    "uniqueness": ("distinct_count", "total_count", "uniqueness_rate", "duplicates"),
+    "ranges": ("min_expected", "max_expected", "out_of_range_count", "validity_rate"),
+    "business_rules": ("violations",),
+    "consistency": ("invalid_references",),
+}
+
+
+def _numbers_sql(names) -> str:
+    """Named numbers to 4 digits, as text."""
+    parts = (f"'{name}=' || coalesce(CAST(CAST({name} AS DECIMAL(30,4)) AS VARCHAR), '')" for name in names)
+    return " || ' ' || ".join(parts) or "''"
+
+
 def _suite_sql() -> str:
-    """dataset, check, item, status, critical, warning of every check."""
+    """dataset, check, item, status, critical, warning, numbers of every check."""
     parts = []
 
     def add(dataset, check, item, rows, critical="false", warning="false"):
         parts.append(
             f"SELECT '{dataset}' AS dataset, '{check}' AS \"check\", {item} AS item, status, {critical} AS critical, "
-            f"{warning} AS warning FROM ({rows})"
+            f"{warning} AS warning, {_numbers_sql(_EXACT.get(check, ()))} AS numbers FROM ({rows})"
         )
 
     for name, columns in _COLUMNS.items():
         view, rules = _VIEW_OF[name], P.RULES[name]
         parts.append(
             f"SELECT '{name}' AS dataset, 'profiling' AS \"check\", 'table' AS item, 'INFO' AS status, false AS critical, "
-            "false AS warning"
-        )
-        parts.extend(
-            f"SELECT '{name}', 'profiling', '{column}', 'INFO', false, false" for column in columns
+            f"false AS warning, {_numbers_sql(_EXACT['profiling'][:2])} AS numbers "
+            f"FROM (SELECT count(*) AS total_rows, {len(columns)} AS total_columns FROM {view})"
         )
+        for column in columns:
+            facts = f"count(*) - count({column}) AS null_count, (count(*) - count({column})) / count(*) * 100 AS null_percentage"
+            names = _EXACT["profiling"][2:4]
+            if column in _NUMERIC[name]:
+                facts += f", avg({column}) AS mean, stddev_samp({column}) AS stddev, min({column}) AS min, max({column}) AS max"
+                names = _EXACT["profiling"][2:]
+            parts.append(
+                f"SELECT '{name}', 'profiling', '{column}', 'INFO', false, false, {_numbers_sql(names)} FROM (SELECT {facts} FROM {view})"
+            )
         add(name, "completeness", '"column"', _complete_sql(view, columns, rules.required), "critical")
         if rules.unique:
             add(name, "uniqueness", '"column"', _unique_sql(view, *rules.unique), "critical")
@@ -369,7 +393,17 @@ def _suite(t: Tables):
 
 @query("dq_suite", _suite_sql(), _VIEWS)
 def _(t):
-    return _suite(t).drop("metrics")
+    """Exact numbers as text, in the order of the check; of the sketches, what must hold."""
+    whole = _suite(t)
+    number = F.create_map(*(part for check, names in _EXACT.items() for part in (F.lit(check), F.array(*map(F.lit, names)))))
+    named = F.filter(F.try_element_at(number, F.col("check")), lambda name: F.map_contains_key("metrics", name))
+    shown = F.transform(
+        named,
+        lambda name: F.concat(
+            name, F.lit("="), F.coalesce(F.try_element_at("metrics", name).cast("decimal(30,4)").cast("string"), F.lit(""))
+        ),
+    )
+    return whole.withColumn("numbers", F.coalesce(F.array_join(shown, " "), F.lit(""))).drop("metrics")
 
 
 _COUNTED = "\"check\" IN ('completeness', 'uniqueness', 'ranges', 'business_rules', 'consistency')"
@@ -409,8 +443,12 @@ def _(t):
         f"UNION ALL SELECT '{name}_row_count', count(*) FROM {_VIEW_OF[name]} "
         f"UNION ALL SELECT '{name}_column_count', {len(columns)}"
         for name, columns in _COLUMNS.items()
-    ),
+    )
+    + " UNION ALL SELECT 'timestamp', 1",
     _VIEWS,
 )
 def _(t):
-    return P.monitoring(_suite(t))
+    """The time is shown as the truth that it is now."""
+    found = P.monitoring(_suite(t))
+    now = (F.abs(F.col("value") - F.unix_millis(F.current_timestamp()) / 1000) < 86400).cast("double")
+    return found.withColumn("value", F.when(F.col("metric") == "timestamp", now).otherwise(F.col("value")))

@@ -1,6 +1,7 @@
 """Quality checks on odd tables, and the report."""
 
 import json
+import math
 import uuid
 
 import pytest
@@ -35,6 +36,25 @@ def test_column_of_nulls(spark):
     assert rows(K.uniqueness(df, ["a"]), "distinct_count", "duplicates") == [(1, 1)]
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        list(range(1000)), [5] * 40, [1, 2], [7], [None, 3, None], [10.0**at for at in range(-300, 300, 3)], [0, 0, 0, 1e308, -1e308],
+        [float("-inf"), 1, 2, 3, float("inf")], [(at * 7919) % 997 / 3 for at in range(5000)], [-0.0, 0.0, float("nan"), 1],
+    ],
+)
+def test_exact_quantiles(spark, values):
+    df = spark.createDataFrame([(None if v is None else float(v), 1) for v in values], "a double, b int")
+    known = sorted(v for v in values if v is not None and v == v)
+    want = [float(known[max(1, math.ceil(share * len(known))) - 1]) for share in (0.25, 0.5, 0.75)]
+    assert K.exact_quantiles(df, ["a", "b"], buckets=16) == {"a": want, "b": [1.0] * 3}
+
+
+def test_exact_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "a double")
+    assert K.exact_quantiles(df, ["a"]) == {"a": None} and K.outliers(df, exact=True).count() == 0
+
+
 def test_null_and_zero_signs_as_values(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (None,), (None,), (float("nan"),)], "a double")
     assert rows(K.uniqueness(df, ["a"]), "distinct_count") == [(df.distinct().count(),)] == [(3,)]
