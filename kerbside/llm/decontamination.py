@@ -52,13 +52,21 @@ def _without(text: Column, *characters: str) -> Column:
     return text
 
 
-def _bare(text: Column) -> Column:
-    """Words without the marks around them; a name has a control character in front and others inside a run of names."""
-    out = F.regexp_replace(_without(text, _NAME_MARK, _JOINT), _RAGGED, " ")
-    out = F.regexp_replace(out, _UNIT_AFTER, "$1 $2")
-    out = F.regexp_replace(out, _NAME, _NAME_MARK + "$0")
-    out = F.regexp_replace(out, _BETWEEN, _JOINT)
-    return F.regexp_replace(out, _EDGE, "")
+def _where(texts: DataFrame, name: str, condition: Column, changed: Column) -> DataFrame:
+    """The column changed where the condition holds. A step of its own, so that its input is computed once."""
+    return texts.withColumn(name, F.when(condition, changed).otherwise(F.col(name)))
+
+
+def _bare(texts: DataFrame) -> DataFrame:
+    """``bare``: words without the marks around them; a name has a control character in front and others inside a run
+    of names. Patterns for numbers and names are tried only where a digit or a name is."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    texts = texts.select("id", F.regexp_replace(_without(text, _NAME_MARK, _JOINT), _RAGGED, " ").alias("bare"))
+    bare = F.col("bare")
+    texts = _where(texts, "bare", bare.rlike(r"\d"), F.regexp_replace(bare, _UNIT_AFTER, "$1 $2"))
+    texts = texts.withColumn("bare", F.regexp_replace(bare, _NAME, _NAME_MARK + "$0"))
+    texts = _where(texts, "bare", bare.contains(_NAME_MARK), F.regexp_replace(bare, _BETWEEN, _JOINT))
+    return texts.withColumn("bare", F.regexp_replace(bare, _EDGE, ""))
 
 
 def _plain(bare: Column) -> Column:
@@ -66,8 +74,10 @@ def _plain(bare: Column) -> Column:
     return _without(F.replace(bare, F.lit(_JOINT), F.lit(" ")), _NAME_MARK)
 
 
-def _units(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text, _UNITS, f"{NUMBER}$1{UNIT}"))
+def _units(texts: DataFrame, name: str) -> DataFrame:
+    """The column with units after numbers as placeholders, in lower case."""
+    texts = _where(texts, name, F.col(name).contains(NUMBER), F.regexp_replace(name, _UNITS, f"{NUMBER}$1{UNIT}"))
+    return texts.withColumn(name, F.lower(name))
 
 
 def _words(text: Column) -> Column:
@@ -104,22 +114,31 @@ def _hashes(words: Column, length: int = WINDOW) -> Column:
 
 
 def _templated(texts: DataFrame) -> DataFrame:
-    """(id, words, values, folded, spoken, masked): the template's words and, place for place, what they stand for; the
-    same with names as words like others, in lower case, for texts whose case tells no names; and ``folded`` with a
-    placeholder for each word of a name."""
-    texts = texts.select("id", _bare(F.coalesce(F.col("text"), F.lit(""))).alias("bare"))
+    """(id, named, words, values, folded, spoken, masked): the template's words and, place for place, what they stand
+    for; the same with names as words like others, in lower case, for texts whose case tells no names; and ``folded``
+    with a placeholder for each word of a name. Without names (``named``) all readings are one."""
     bare = F.col("bare")
-    texts = texts.select("id", "bare", F.regexp_replace(bare, _NUMBERS, NUMBER).alias("numbered"))
-    numbered = F.col("numbered")
+    texts = _bare(texts.select("id", "text")).withColumn("named", bare.contains(_NAME_MARK))
+    texts = texts.withColumn("words", bare)
+    texts = _where(texts, "words", bare.rlike(r"\d"), F.regexp_replace(bare, _NUMBERS, NUMBER))
+    named, numbered = F.col("named"), F.col("words")
     apart = F.replace(numbered, F.lit(_JOINT), F.lit(" " + _NAME_MARK))
-    return texts.select(
-        "id",
-        _words(_units(F.regexp_replace(numbered, _NAMED, NAME))).alias("words"),
+    texts = texts.select(
+        "id", "named", "bare",
+        F.when(named, _plain(numbered)).alias("folded"),
+        F.when(named, F.regexp_replace(apart, _NAMED, NAME)).alias("masked"),
+        F.when(named, F.regexp_replace(numbered, _NAMED, NAME)).otherwise(numbered).alias("words"),
+    )
+    for name in ("words", "folded", "masked"):
+        texts = _units(texts, name)
+    texts = texts.select(
+        "id", "named",
+        *(_words(F.col(name)).alias(name) for name in ("words", "folded", "masked")),
         _words(F.lower(_without(bare, _NAME_MARK))).alias("values"),
-        _words(_units(_plain(numbered))).alias("folded"),
-        _words(F.lower(_plain(bare))).alias("spoken"),
-        _words(_units(F.regexp_replace(apart, _NAMED, NAME))).alias("masked"),
-    )
+        F.when(named, _words(F.lower(_plain(bare)))).alias("spoken"),
+    )
+    others = (F.coalesce(name, same).alias(name) for name, same in (("folded", "words"), ("spoken", "values"), ("masked", "words")))
+    return texts.select("id", "named", "words", "values", *others)
 
 
 #: How a window is read: with names typed; with names as words; with the item's names open in a document whose case
@@ -212,7 +231,8 @@ def leaks(
     lengths = sorted(row[0] for row in whole.collect())
     # First only numbers travel: which documents hold which windows, or whole short items. Each text is read once.
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    either = F.array_union(_hashes(F.col("words")), _hashes(F.col("folded")))
+    either = F.array_distinct(_hashes(F.col("words")))
+    either = F.when(F.col("named"), F.array_union(either, _hashes(F.col("folded")))).otherwise(either)
     if lengths:
         either = F.concat(either, *(_hashes(F.col("spoken"), length) for length in lengths))
     hashes = _templated(texts).select("id", F.explode(either).alias("hash"))
@@ -228,24 +248,26 @@ def leaks(
     near = stored(near.where("n >= need").select("id", "item_id", "kind", "windows"), "near")
     # Then the words of those documents, to see what fills the slots.
     texts = texts.join(small(near.select("id").distinct()), "id", "left_semi")
+    texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
+    rows = _read(_templated(texts), _OF_DOCUMENTS).select("id.*", "kind", "words", "values")
+    rows = rows.join(small(near.select("id", "kind").distinct()), ["id", "kind"], "left_semi")
     windows = F.transform(
-        _starts(F.col("words")),
-        lambda at: F.struct(
-            _hash(F.slice("words", at + 1, WINDOW)).alias("hash"),
+        _hashes(F.col("words")),
+        lambda h, at: F.struct(
+            h.alias("hash"),
             F.slice("words", at + 1, WINDOW).alias("window"),
             F.slice("values", at + 1, WINDOW).alias("given"),
             at.alias("at"),
         ),
     )
-    texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
-    rows = _read(_templated(texts), _OF_DOCUMENTS).select("id", "kind", F.explode(windows).alias("w"))
-    rows = stored(rows.select("id.*", "kind", "w.*").join(small(near.select("id", "kind").distinct()), ["id", "kind"], "left_semi"), "rows")
+    rows = rows.select("id", "body", "kind", F.inline(windows))
     known = small(usable.select("hash").distinct())
     met = rows.join(known, "hash", "left_semi").join(near, ["id", "kind"])
     met = met.join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
     columns = ["id", "item_id", "kind", "windows", "hash", "window", "asked", "given", "place", "at", "body"]
     met = stored(met.select(*columns).distinct(), "met")
-    met = met.unionByName(_opened(met.where(F.col("kind") == MASKED), rows, usable).select(*columns))
+    if not near.where(F.col("kind") == MASKED).isEmpty():
+        met = met.unionByName(_opened(met.where(F.col("kind") == MASKED), rows, usable).select(*columns))
     best = _covered(stored(met.distinct(), "met-all"))
     if lengths:
         best = best.unionByName(_whole(held, index))
