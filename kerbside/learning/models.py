@@ -236,7 +236,9 @@ def tune_fare(
     def forest(**params) -> RandomForestRegressor:
         return RandomForestRegressor(labelCol="fare", predictionCol=FARE, seed=SEED, **params)
 
-    numbered = train.withColumn("fold", _fold(key, folds, train))
+    # Spread over as many tasks as a shuffle has, whatever files the rows came in.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = train.withColumn("fold", _fold(key, folds, train)).repartition(spread, *(key or train.columns))
     for fold in range(folds):
         inside, outside = numbered.where(F.col("fold") != fold), numbered.where(F.col("fold") == fold)
         prepared = features().fit(inside)
@@ -256,8 +258,8 @@ def tune_fare(
         (size, at): {"numTrees": size, **setting} for size in sizes for at, setting in enumerate(settings)
     }
     best = names[min(names, key=lambda place: mean[place])]
-    prepared = features().fit(train)
-    with kept(prepared.transform(train).select("features", "fare")) as (ready,):
+    prepared = features().fit(numbered)
+    with kept(prepared.transform(numbered).select("features", "fare")) as (ready,):
         model = forest(**best).fit(ready)
     rows = [
         (", ".join(f"{name}={value}" for name, value in setting.items()), "rmse", float(mean[place]))

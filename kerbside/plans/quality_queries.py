@@ -317,7 +317,7 @@ _NUMERIC = {
 
 @query("dq_outlier", _outlier_sql("trips", *_NUMERIC["trips"]), ("trips",))
 def _(t):
-    return K.outliers(t.trips, exact=True)
+    return K.outliers(_datasets(t)["trips"], exact=True)
 
 
 #: The numbers of each check that are exact; quartiles, outliers and distinct estimates are sketches.
