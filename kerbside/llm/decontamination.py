@@ -249,7 +249,8 @@ def leaks(
     # Then the words of those documents, to see what fills the slots.
     texts = texts.join(small(near.select("id").distinct()), "id", "left_semi")
     texts = texts.select(F.struct("id", F.xxhash64("text").alias("body")).alias("id"), "text")
-    rows = _read(_templated(texts), _OF_DOCUMENTS).select("id.*", "kind", "words", "values")
+    open_names = not near.where(F.col("kind") == MASKED).isEmpty()
+    rows = _read(_templated(texts), _OF_DOCUMENTS if open_names else _OF_DOCUMENTS[:2]).select("id.*", "kind", "words", "values")
     rows = rows.join(small(near.select("id", "kind").distinct()), ["id", "kind"], "left_semi")
     windows = F.transform(
         _hashes(F.col("words")),
@@ -261,12 +262,14 @@ def leaks(
         ),
     )
     rows = rows.select("id", "body", "kind", F.inline(windows))
-    known = small(usable.select("hash").distinct())
-    met = rows.join(known, "hash", "left_semi").join(near, ["id", "kind"])
-    met = met.join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
+    matched = rows.join(small(usable.select("hash").distinct()), "hash", "left_semi")
+    if open_names:
+        matched = matched.where(F.col("kind") != MASKED).unionByName(rows.where(F.col("kind") == MASKED))
+    rows = stored(matched, "rows")
+    met = rows.join(near, ["id", "kind"]).join(small(usable, 100_000), ["item_id", "kind", "hash", "window"])
     columns = ["id", "item_id", "kind", "windows", "hash", "window", "asked", "given", "place", "at", "body"]
     met = stored(met.select(*columns).distinct(), "met")
-    if not near.where(F.col("kind") == MASKED).isEmpty():
+    if open_names:
         met = met.unionByName(_opened(met.where(F.col("kind") == MASKED), rows, usable).select(*columns))
     best = _covered(stored(met.distinct(), "met-all"))
     if lengths:
