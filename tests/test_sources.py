@@ -96,6 +96,16 @@ def test_parquet_stream_picks_one_table(spark, tmp_path):
     assert df.isStreaming and stream_rows(df, tmp_path)[0].count() == 25
 
 
+@pytest.mark.parametrize("partitions", [(), ("k",)])
+def test_parquet_stream_of_a_folder_of_files(spark, tmp_path, partitions):
+    rows = spark.range(20).selectExpr("id", "cast(id % 2 as int) AS k").repartition(3)
+    rows.write.partitionBy(*partitions).parquet(f"{tmp_path}/tables/some.parquet")
+    rows.limit(1).write.parquet(f"{tmp_path}/tables/some.parquet2")
+    df = files.load_stream(stream_session(spark), f"{tmp_path}/tables", "some")
+    found = stream_rows(df, tmp_path)[0]
+    assert sorted(map(tuple, found.select("id", "k").collect())) == [(n, n % 2) for n in range(20)]
+
+
 def test_kafka_source_options(spark):
     assert messages.kafka_options("booking", "broker:9092", "earliest", {"maxOffsetsPerTrigger": 1000}) == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "booking", "startingOffsets": "earliest",
