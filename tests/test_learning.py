@@ -122,3 +122,13 @@ def test_split_depends_on_values_only(samples):
     again = [{r.trip_id for r in part.collect()} for part in split(key.repartition(7), [0.8, 0.2])]
     assert sides == again and not sides[0] & sides[1]
     assert len(sides[0] | sides[1]) == 10000 and abs(len(sides[0]) - 8000) < 200
+
+
+def test_model_queries_make_their_samples_once(spark):
+    from kerbside.plans.catalog import runner
+
+    found = runner("ml_segment")(spark, "/root/testdata/sf0.001")
+    assert not [file for file in found.inputFiles() if "testdata" in file]
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert t.stored_samples.dtypes == t.ml_samples.dtypes
+    assert t.stored_samples.exceptAll(t.ml_samples).isEmpty() and t.ml_samples.exceptAll(t.stored_samples).isEmpty()
