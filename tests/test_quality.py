@@ -167,3 +167,16 @@ def test_verdicts(spark, passed, word):
     assert found.first().overall == word
     advice = [r.advice for r in P.recommend(found).orderBy("place").collect()]
     assert len(advice) == (0 if passed == 100 else 2)
+
+
+def test_suite_counts_outliers_in_the_first_pass(spark):
+    df = spark.createDataFrame([(float(n % 7), None) for n in range(50)] + [(99.0, None)], "TripFare double, nothing int")
+    report = P.run_suite({"other": df})
+    assert report._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    found = report.where("check = 'distribution'").select("item", "status", "warning", "metrics.outliers", "metrics.q3").collect()
+    assert [tuple(row) for row in found] == [("TripFare", "PASS", False, 1.0, 5.0)]
+
+
+def test_trips_are_made_behind_the_join(spark):
+    plan = Tables(spark, CHECKED).passenger_trips._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Supplier#") < plan.index("Join")
