@@ -169,6 +169,13 @@ def test_verdicts(spark, passed, word):
     assert len(advice) == (0 if passed == 100 else 2)
 
 
+def test_exact_outliers_make_their_rows_once(spark, tmp_path):
+    spark.createDataFrame([(float(n % 7), None if n == 3 else n) for n in range(50)] + [(99.0, 500)], "`a b` double, n int").write.parquet(f"{tmp_path}/t")
+    found = K.outliers(spark.read.parquet(f"{tmp_path}/t"), exact=True)
+    assert not [file for file in found.inputFiles() if f"{tmp_path}/t" in file]
+    assert rows(found, "column", "q1", "median", "q3", "outliers") == [("a b", 1.0, 3.0, 5.0, 1), ("n", 13.0, 25.0, 38.0, 1)]
+
+
 def test_suite_counts_outliers_in_the_first_pass(spark):
     df = spark.createDataFrame([(float(n % 7), None) for n in range(50)] + [(99.0, None)], "TripFare double, nothing int")
     report = P.run_suite({"other": df})
