@@ -111,6 +111,23 @@ def test_tuning_reports_every_setting(samples):
     }
 
 
+def test_tuned_forests_are_spread_by_rows(samples, monkeypatch):
+    seen = []
+
+    class Seen(P.RandomForestRegressor):
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), self.getCacheNodeIds()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(P, "RandomForestRegressor", Seen)
+    small = split(samples, [0.2, 0.8], key=KEY)[0]
+    for rows, tasks in ((P.TUNE_ROWS, 1), (1500, 2), (10, 4)):
+        monkeypatch.setattr(P, "TUNE_ROWS", rows)
+        P.tune_fare(small, {"numTrees": (1, 2), "maxDepth": (1, 3)}, folds=2, key=KEY)
+        assert seen == [(tasks, True)] * 5
+        seen.clear()
+
+
 def test_unknown_action(samples):
     with pytest.raises(ValueError):
         P.run_ml("guess", samples, "/nowhere")
